@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qirtas.llm import components, mixing, packing, splitting
+from qirtas.llm import components, mixing, neighbours, packing, splitting
 from qirtas.plans.sqltext import strip, token_count, topic_name
 from qirtas.session import table
 
@@ -23,6 +23,11 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.topic_groups(table(spark, sf_dir, "topic_merge_candidates"))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = neighbours.embeddings(table(spark, sf_dir, "chunks"), table(spark, sf_dir, "topics"))
+    return neighbours.MultiIndex(vectors).pairs(5)
+
+
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     capacity, _ = splitting.size_limit(table(spark, sf_dir, "size_limits"), "container")
     return packing.pack_documents(table(spark, sf_dir, "documents"), capacity)
@@ -56,6 +61,7 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p3_found": p3_found, "p3_pieces": p3_pieces,
     "p5_found": p5_found,
+    "p6_found": p6_found,
     "p8_found": p8_found, "p8_containers": p8_containers, "p8_report": p8_report,
     "p9_found": p9_found, "p9_mixture": p9_mixture, "p9_shares": p9_shares,
 }
