@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qirtas.llm import components, mixing, neighbours, packing, splitting
+from qirtas.llm import boilerplate, components, mixing, neighbours, packing, splitting
 from qirtas.plans.sqltext import strip, token_count, topic_name
 from qirtas.session import table
 
@@ -19,6 +19,14 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_pieces(spark, sf_dir).where("piece_no = 0 and n_pieces > 1").select("document_id", "language")
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.main_runs(table(spark, sf_dir, "parsed_documents")).select("page_id", "run_no")
+
+
+def p4_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.main_texts(table(spark, sf_dir, "parsed_documents"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.topic_groups(table(spark, sf_dir, "topic_merge_candidates"))
 
@@ -60,6 +68,7 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p3_found": p3_found, "p3_pieces": p3_pieces,
+    "p4_found": p4_found, "p4_texts": p4_texts,
     "p5_found": p5_found,
     "p6_found": p6_found,
     "p8_found": p8_found, "p8_containers": p8_containers, "p8_report": p8_report,
