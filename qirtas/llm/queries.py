@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qirtas.llm import boilerplate, components, mixing, neighbours, packing, splitting
+from qirtas.llm import boilerplate, components, mixing, neighbours, packing, splitting, subjects
 from qirtas.plans.sqltext import strip, token_count, topic_name
 from qirtas.session import table
 
@@ -66,6 +66,14 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixture(spark, sf_dir).report()
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subjects.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "subject_labels")).select("doc_id", "subject")
+
+
+def p10_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subjects.composition(p10_found(spark, sf_dir), table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "p3_found": p3_found, "p3_pieces": p3_pieces,
     "p4_found": p4_found, "p4_texts": p4_texts,
@@ -73,6 +81,7 @@ QUERIES = {
     "p6_found": p6_found,
     "p8_found": p8_found, "p8_containers": p8_containers, "p8_report": p8_report,
     "p9_found": p9_found, "p9_mixture": p9_mixture, "p9_shares": p9_shares,
+    "p10_found": p10_found, "p10_composition": p10_composition,
 }
 
 _SOURCE = f"lower({strip('source')})"
