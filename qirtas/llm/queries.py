@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qirtas.llm import alignment, boilerplate, components, mixing, neighbours, packing, splitting, subjects
+from qirtas.llm import alignment, boilerplate, components, mixing, neighbours, packing, scans, splitting, subjects
 from qirtas.plans.sqltext import strip, token_count, topic_name
 from qirtas.session import table
 
@@ -18,6 +18,14 @@ def p1_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned_sentences(table(spark, sf_dir, "legal_documents"))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.Scans(table(spark, sf_dir, "legal_documents")).defects()
+
+
+def p2_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.Scans(table(spark, sf_dir, "legal_documents")).paragraphs()
+
+
 def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     limit, overlap = splitting.size_limit(table(spark, sf_dir, "size_limits"), "piece")
     return splitting.split_texts(splitting.legal_texts(table(spark, sf_dir, "legal_documents")), limit, overlap)
@@ -84,6 +92,7 @@ def p10_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_pairs": p1_pairs,
+    "p2_found": p2_found, "p2_paragraphs": p2_paragraphs,
     "p3_found": p3_found, "p3_pieces": p3_pieces,
     "p4_found": p4_found, "p4_texts": p4_texts,
     "p5_found": p5_found,
