@@ -30,7 +30,7 @@ CELL_ROWS, MAX_CENTROIDS = 8, 1024
 #: A vector's walk ends when the cells it met hold so many vectors.
 CANDIDATES = 800
 #: Indexed vectors in one task, at most.
-BLOCK = 24_000
+BLOCK = 32_000
 _SCALE = 32767.0
 
 
@@ -137,13 +137,13 @@ class MultiIndex:
 
     Only embeddings of ``dims`` finite numbers, not all zero, count; rows with a
     null key or collection are left out. Repeated rows of a key agree; should
-    they not, the greatest stored form is used. Keys are followed through the
-    search by a 64-bit hash.
+    they not, the greatest stored form is used. Collections and keys are
+    followed through the search by a 64-bit hash.
     """
 
     def __init__(self, vectors: DataFrame, dims: int = 64):
         self.spark, self.dims, self.half = vectors.sparkSession, dims, dims // 2
-        self.source = vectors.select("collection", F.xxhash64("key").alias("id"), "key", "embedding").where(
+        self.source = vectors.select("collection", F.xxhash64("collection", "key").alias("id"), "key", "embedding").where(
             "key is not null and collection is not null and embedding is not null"
         )
         self._fit()
@@ -213,7 +213,7 @@ class MultiIndex:
         self.tasks = task
 
     def search(self, k: int = 5) -> DataFrame:
-        """(collection, id, other, cosine): the k nearest of every vector but itself.
+        """(id, other, cosine): the k nearest of every vector but itself.
 
         Of more than k + 1 copies of one vector those with the k + 1 least ids
         are indexed and stand for all; the rest get the first k of these, which
@@ -231,7 +231,7 @@ class MultiIndex:
         first = cut(copied.withColumn("rank", F.row_number().over(group)).where(F.col("rank") <= k + 1))
         rest = copied.join(first.select("collection", "id"), ["collection", "id"], "left_anti")
         heads = first.where(F.col("rank") <= k).groupBy("collection", "v").agg(F.collect_list("id").alias("others"))
-        near = rest.join(heads, ["collection", "v"]).select("collection", "id", F.explode("others").alias("other"), F.lit(1.0).cast("float").alias("cosine"))
+        near = rest.join(heads, ["collection", "v"]).select("id", F.explode("others").alias("other"), F.lit(1.0).cast("float").alias("cosine"))
         return self._rerank(alone.unionByName(first.drop("rank")), k).unionByName(near)
 
     def _rerank(self, vectors: DataFrame, k: int) -> DataFrame:
@@ -272,9 +272,9 @@ class MultiIndex:
                                     probes.append(coded if t in as_query else b"")
                 take = pa.array(np.array(at, np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("collection").take(take), pa.array(task, pa.int32()), pa.array(home, pa.int32()), pa.array(role, pa.int8()),
+                    [pa.array(task, pa.int32()), pa.array(home, pa.int32()), pa.array(role, pa.int8()),
                      b.column("id").take(take), b.column("v").take(take), pa.array(probes, pa.binary())],
-                    ["collection", "task", "home", "role", "id", "v", "probes"],
+                    ["task", "home", "role", "id", "v", "probes"],
                 )
 
         def rerank(group: pa.Table) -> pa.Table:
@@ -287,7 +287,7 @@ class MultiIndex:
             y, yid = x[indexed], ids[indexed]
             cells, starts = np.unique(home[indexed], return_index=True)
             ends = np.append(starts[1:], len(indexed))
-            out_id, out_other, out_cos = [], [], []
+            out_id, out_n, out_other, out_cos = [], [], [], []
             queries = np.flatnonzero(role & 2)
             split = np.flatnonzero(np.diff(home[queries], prepend=-1))
             for a, b in zip(split, np.append(split[1:], len(queries))):
@@ -306,31 +306,30 @@ class MultiIndex:
                     best = np.argpartition(-scores, n - 1, axis=1)[:, :n] if n < len(cand) else np.broadcast_to(np.arange(n), (len(q), n))
                     got = np.take_along_axis(scores, best, axis=1)
                     row, col = np.nonzero(got > -9)
-                    out_id.append(ids[q][row])
+                    out_id.append(ids[q])
+                    out_n.append(np.bincount(row, minlength=len(q)))
                     out_other.append(yid[cand[best[row, col]]])
                     out_cos.append(got[row, col])
-            name = group.column("collection")[0].as_py()
-            cat = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-            found = cat(out_id, np.int64)
+            cat = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
+            ends = pa.array(np.concatenate([[0], np.cumsum(cat(out_n, np.int64))]).astype(np.int32))
             return pa.table({
-                "collection": pa.array([name] * len(found), pa.string()), "id": found,
-                "other": cat(out_other, np.int64), "cosine": cat(out_cos, np.float32),
+                "id": cat(out_id, np.int64),
+                "d": pa.ListArray.from_arrays(ends, pa.array(-cat(out_cos, np.float32))),
+                "other": pa.ListArray.from_arrays(ends, pa.array(cat(out_other, np.int64))),
             })
 
-        routed = vectors.mapInArrow(route, "collection string, task int, home int, role byte, id long, v binary, probes binary")
-        found = routed.repartition(max(1, self.tasks), "task").groupBy("task").applyInArrow(rerank, "collection string, id long, other long, cosine float")
-        # A vector has at most k rows of each block it was sent to.
-        best = found.groupBy("collection", "id").agg(F.array_sort(F.collect_list(F.struct((-F.col("cosine")).alias("d"), "other"))).alias("near"))
-        return best.select("collection", "id", F.explode(F.slice("near", 1, k)).alias("n")).select(
-            "collection", "id", F.col("n.other").alias("other"), (-F.col("n.d")).alias("cosine")
-        )
+        routed = vectors.mapInArrow(route, "task int, home int, role byte, id long, v binary, probes binary")
+        found = routed.repartition(max(1, self.tasks), "task").groupBy("task").applyInArrow(rerank, "id long, d array<float>, other array<long>")
+        # A vector has at most one row of k of each block it was sent to.
+        best = found.groupBy("id").agg(F.array_sort(F.flatten(F.collect_list(F.arrays_zip("d", "other")))).alias("near"))
+        return best.select("id", F.explode(F.slice("near", 1, k)).alias("n")).select("id", F.col("n.other").alias("other"), (-F.col("n.d")).alias("cosine"))
 
     def pairs(self, k: int = 5) -> DataFrame:
         """(collection, key_a, key_b): pairs of which one is among the k nearest of the other."""
-        near = self.search(k).select("collection", F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+        near = self.search(k).select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
         keys = self.source.select("collection", "id", "key").distinct()
-        named = near.join(keys.select("collection", F.col("id").alias("a"), F.col("key").alias("x")), ["collection", "a"])
-        named = named.join(keys.select("collection", F.col("id").alias("b"), F.col("key").alias("y")), ["collection", "b"])
+        named = near.join(keys.select(F.col("id").alias("a"), F.col("key").alias("x")), "a")
+        named = named.join(keys.select("collection", F.col("id").alias("b"), F.col("key").alias("y")), "b")
         return named.select("collection", F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b"))
 
 
