@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from qirtas.functions.bloom import BloomFilter
 from qirtas.session import cut
 
 #: Rows of each collection that the centroids are fitted on, at most.
@@ -31,6 +32,8 @@ CELL_ROWS, MAX_CENTROIDS = 8, 1024
 CANDIDATES = 800
 #: Indexed vectors in one task, at most.
 BLOCK = 32_000
+#: Rows of one key up to which repeats are dropped in the task they meet in.
+REPEATS = 8
 _SCALE = 32767.0
 
 
@@ -137,7 +140,7 @@ class MultiIndex:
 
     Only embeddings of ``dims`` finite numbers, not all zero, count; rows with a
     null key or collection are left out. Repeated rows of a key agree; should
-    they not, the greatest stored form is used. Collections and keys are
+    they not, each of their vectors is searched for the key. Collections and keys are
     followed through the search by a 64-bit hash.
     """
 
@@ -148,9 +151,10 @@ class MultiIndex:
         )
         self._fit()
 
-    def _quantised(self) -> DataFrame:
+    def _quantised(self, source: DataFrame | None = None) -> DataFrame:
         """(collection, id, v): unit vectors as 16-bit fixed-point numbers."""
         dims = self.dims
+        source = self.source if source is None else source
 
         def quantise(batches):
             for b in batches:
@@ -159,7 +163,7 @@ class MultiIndex:
                 v = _binary(np.rint(x * _SCALE).astype("<i2"))
                 yield pa.RecordBatch.from_arrays([b.column("collection").take(at), b.column("id").take(at), v], ["collection", "id", "v"])
 
-        return self.source.select("collection", "id", "embedding").mapInArrow(quantise, "collection string, id long, v binary")
+        return source.select("collection", "id", "embedding").mapInArrow(quantise, "collection string, id long, v binary")
 
     def _fit(self) -> None:
         dims, half = self.dims, self.half
@@ -219,7 +223,7 @@ class MultiIndex:
         are indexed and stand for all; the rest get the first k of these, which
         no other vector can be nearer to. Ties go to the least id.
         """
-        one = self._quantised().groupBy("collection", "id").agg(F.max("v").alias("v"))
+        one = self._without_heavy_repeats()
         many = cut(self.copies.where(F.col("count") > k + 1).select("collection", "copy"))
         if many.isEmpty():
             return self._rerank(one, k)
@@ -234,6 +238,22 @@ class MultiIndex:
         near = rest.join(heads, ["collection", "v"]).select("id", F.explode("others").alias("other"), F.lit(1.0).cast("float").alias("cosine"))
         return self._rerank(alone.unionByName(first.drop("rank")), k).unionByName(near)
 
+    def _without_heavy_repeats(self) -> DataFrame:
+        """All vectors; keys with more than ``REPEATS`` rows once.
+
+        Equal rows of a key are sent to the same tasks, which drop them. Only for
+        keys with so many rows that this would burden a task is there a shuffle,
+        of the rows that pass a Bloom filter of those keys.
+        """
+        heavy = cut(self.source.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") > REPEATS).select("id"))
+        n = heavy.count()
+        if not n:
+            return self._quantised()
+        often = BloomFilter(heavy, F.col("id"), n).might_contain(F.col("id"))
+        marked = self.source.withColumn("often", often)
+        rare = self._quantised(marked.where(~F.col("often")))
+        return rare.unionByName(self._quantised(marked.where("often")).distinct())
+
     def _rerank(self, vectors: DataFrame, k: int) -> DataFrame:
         dims, half = self.dims, self.half
         shared = self.spark.sparkContext.broadcast(self.books)
@@ -279,7 +299,9 @@ class MultiIndex:
 
         def rerank(group: pa.Table) -> pa.Table:
             home = group.column("home").to_numpy()
-            order = np.argsort(home, kind="stable")
+            order = np.lexsort((group.column("id").to_numpy(), home))
+            again = (np.diff(home[order], prepend=-1) == 0) & (np.diff(group.column("id").to_numpy()[order], prepend=0) == 0)
+            order = order[~again]
             home, role = home[order], group.column("role").to_numpy()[order]
             ids, x = group.column("id").to_numpy()[order], _decode(group.column("v"), dims)[order]
             probes = [np.frombuffer(group.column("probes")[int(i)].as_py(), np.int32) for i in order]
@@ -326,7 +348,9 @@ class MultiIndex:
 
     def pairs(self, k: int = 5) -> DataFrame:
         """(collection, key_a, key_b): pairs of which one is among the k nearest of the other."""
-        near = self.search(k).select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+        # One shuffle by the first end serves both the removal of doubles and the join.
+        near = self.search(k).select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+        near = near.repartition("a").dropDuplicates(["a", "b"])
         keys = self.source.select("collection", "id", "key").distinct()
         named = near.join(keys.select(F.col("id").alias("a"), F.col("key").alias("x")), "a")
         named = named.join(keys.select("collection", F.col("id").alias("b"), F.col("key").alias("y")), "b")
