@@ -217,7 +217,12 @@ class MultiIndex:
         self.tasks = task
 
     def search(self, k: int = 5) -> DataFrame:
-        """(id, other, cosine): the k nearest of every vector but itself.
+        """(id, other, cosine): the k nearest of every vector but itself (see ``_found``)."""
+        found, copies = self._found(k)
+        return found if copies is None else found.unionByName(copies)
+
+    def _found(self, k: int) -> tuple[DataFrame, DataFrame | None]:
+        """The nearest of the indexed vectors, and those of the copies that are not indexed.
 
         Of more than k + 1 copies of one vector those with the k + 1 least ids
         are indexed and stand for all; the rest get the first k of these, which
@@ -226,7 +231,7 @@ class MultiIndex:
         one = self._without_heavy_repeats()
         many = cut(self.copies.where(F.col("count") > k + 1).select("collection", "copy"))
         if many.isEmpty():
-            return self._rerank(one, k)
+            return self._rerank(one, k), None
         one = cut(one)
         grouped = one.withColumn("copy", F.xxhash64("v"))
         alone = grouped.join(many, ["collection", "copy"], "left_anti").drop("copy")
@@ -236,7 +241,7 @@ class MultiIndex:
         rest = copied.join(first.select("collection", "id"), ["collection", "id"], "left_anti")
         heads = first.where(F.col("rank") <= k).groupBy("collection", "v").agg(F.collect_list("id").alias("others"))
         near = rest.join(heads, ["collection", "v"]).select("id", F.explode("others").alias("other"), F.lit(1.0).cast("float").alias("cosine"))
-        return self._rerank(alone.unionByName(first.drop("rank")), k).unionByName(near)
+        return self._rerank(alone.unionByName(first.drop("rank")), k), near
 
     def _without_heavy_repeats(self) -> DataFrame:
         """All vectors; keys with more than ``REPEATS`` rows once.
@@ -348,13 +353,21 @@ class MultiIndex:
 
     def pairs(self, k: int = 5) -> DataFrame:
         """(collection, key_a, key_b): pairs of which one is among the k nearest of the other."""
-        # One shuffle by the first end serves both the removal of doubles and the join.
-        near = self.search(k).select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
-        near = near.repartition("a").dropDuplicates(["a", "b"])
+        def ends(found: DataFrame) -> DataFrame:
+            return found.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+
         keys = self.source.select("collection", "id", "key").distinct()
-        named = near.join(keys.select(F.col("id").alias("a"), F.col("key").alias("x")), "a")
-        named = named.join(keys.select("collection", F.col("id").alias("b"), F.col("key").alias("y")), "b")
-        return named.select("collection", F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b"))
+
+        def named(pairs: DataFrame) -> DataFrame:
+            one = pairs.join(keys.select(F.col("id").alias("a"), F.col("key").alias("x")), "a")
+            two = one.join(keys.select("collection", F.col("id").alias("b"), F.col("key").alias("y")), "b")
+            return two.select("collection", F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b"))
+
+        found, copies = self._found(k)
+        # One shuffle by the first end serves both the removal of doubles and the join.
+        out = named(ends(found).repartition("a").dropDuplicates(["a", "b"]))
+        # Copies meet only the heads of their group, each once: a hot head is a join that can be split.
+        return out if copies is None else out.unionByName(named(ends(copies)))
 
 
 def embeddings(chunks: DataFrame, topics: DataFrame) -> DataFrame:
