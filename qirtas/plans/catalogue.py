@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from qirtas.plans import references
+from qirtas.plans import graph, references, retrieval, text
 
-MODULES = (references,)
+MODULES = (text, retrieval, graph, references)
 QUERIES = {name: q for m in MODULES for name, q in m.QUERIES.items()}
 ORACLES = {name: q for m in MODULES for name, q in m.ORACLES.items()}
-FLAGSHIP = references.p7_found
+FLAGSHIP = retrieval.q_search
