@@ -23,8 +23,8 @@ def document_id(source_url: Column, title: Column, document_type: Column, number
     kind, n = _given(normalize_identity(document_type)), normalize_document_number(number)
     basis = F.coalesce(
         F.concat(F.lit("legal-document:"), kind, F.lit(":"), n),
-        F.concat(F.lit("legal-document:url:"), canonical_url(_given(source_url))),
-        F.concat(F.lit("legal-document:title:"), normalize_identity(_given(title))),
+        F.when(source_url != "", F.concat(F.lit("legal-document:url:"), canonical_url(source_url))),
+        F.when(title != "", F.concat(F.lit("legal-document:title:"), normalize_identity(title))),
     )
     return F.concat(F.lit("doc-"), stable_hash(basis))
 
