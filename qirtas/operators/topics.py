@@ -18,15 +18,18 @@ TITLE_STOPWORDS = (
 ).split()
 
 
-def rule_topics(title: Column, content: Column) -> Column:
-    """array<struct<name, confidence, evidence>> of the rules that match title or content."""
+def rule_topics(title: Column, content: Column, with_evidence: bool = True) -> Column:
+    """array<struct<name, confidence, evidence>> of the rules that match title or content.
+
+    Without evidence (then empty) each pattern is tried once only.
+    """
     hay = F.concat(F.coalesce(title, F.lit("")), F.lit("\n"), F.substring(F.coalesce(content, F.lit("")), 1, CONTENT_CHARS))
 
     def one(name: str, confidence: float, english: str, arabic: str) -> Column:
         pattern = rule_pattern(english, arabic)
         # 70 characters before and after the first match.
         at = F.position(F.regexp_substr(hay, F.lit(pattern)), hay)
-        evidence = normalize_whitespace(F.substr(hay, F.greatest(at - 70, F.lit(1)), F.lit(150)))
+        evidence = normalize_whitespace(F.substr(hay, F.greatest(at - 70, F.lit(1)), F.lit(150))) if with_evidence else F.lit("")
         return F.when(hay.rlike(pattern), F.struct(F.lit(name).alias("name"), F.lit(confidence).alias("confidence"), F.substring(evidence, 1, 220).alias("evidence")))
 
     return F.array_compact(F.array(*[one(*rule) for rule in TOPIC_RULES]))
@@ -46,7 +49,7 @@ def extract_topics(documents: DataFrame, key: str, title: str, content: str) ->
 
     Title terms are only added where fewer than three rules match.
     """
-    base = documents.select(key, rule_topics(F.col(title), F.col(content)).alias("rules"), title_words(F.col(title)).alias("words"))
+    base = documents.select(key, rule_topics(F.col(title), F.col(content), False).alias("rules"), title_words(F.col(title)).alias("words"))
     room = F.lit(MAX_TOPICS) - F.size("rules")
     terms = F.when(F.size("rules") < 3, F.slice("words", F.lit(1), room)).otherwise(F.array().cast("array<string>"))
     rows = base.select(key, F.posexplode(F.concat(
