@@ -12,10 +12,14 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
+from collections import Counter
+from collections.abc import Callable
 from itertools import combinations
 
-import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast, StorageLevel
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +29,6 @@ from qirtas.session import cut
 
 #: Rules are fitted on so many labelled documents at most, those of the least hashes.
 FIT_DOCS = 20_000
-#: The rules are sharpened on so many documents, those of the least hashes.
-OWN_DOCS = 12_000
 #: Evidence from which on a statement counts as having a subject.
 CLEAR = 1.0
 #: Phrases that must support a rule, and the share of them that must have its subject.
@@ -37,6 +39,8 @@ GAIN = 0.05
 MIN_Z = 3.0
 #: Words of a phrase that can be in one rule, at most.
 MAX_PHRASE = 5
+#: Characters of statements that are packed together, and counts that a task holds before it hands them on.
+PACK_CHARS, HELD = 200_000, 200_000
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _STATEMENT = re.compile(r"(?<=[.!?؟;؛])\s+|\n+")
@@ -126,8 +130,11 @@ class RuleSet:
 
     def evidence(self, text: str) -> dict[str, float]:
         """Subject -> the evidence of the strongest statement for it."""
+        return self.strongest(statements(text))
+
+    def strongest(self, parts: list[list[str]]) -> dict[str, float]:
         best: dict[str, float] = {}
-        for words in statements(text):
+        for words in parts:
             for s, e in self.statement(words).items():
                 if e > best.get(s, 0.0):
                     best[s] = e
@@ -146,85 +153,145 @@ def labelled_texts(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return texts.join(chosen, "doc_id")
 
 
-def labelled_statements(fit: DataFrame) -> DataFrame:
-    """(words, subjects) of the statements of labelled documents, each with all of its document's labels."""
-    def parts(batches):
-        for pdf in batches:
-            rows = [(w, list(s)) for t, s in zip(pdf["text"], pdf["subjects"]) for w in statements(t)]
-            yield pd.DataFrame(rows, columns=["words", "subjects"])
+def packed_statements(texts: DataFrame) -> DataFrame:
+    """(ids, packed): the statements of all texts, cut once and read by ``unpacked``."""
+    def pack(batches):
+        for b in batches:
+            ids, lines, chars, out = [], [], 0, []
+            for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+                ids.append(i)
+                lines.append("\n".join(" ".join(w) for w in statements(t)))
+                chars += len(lines[-1])
+                if chars > PACK_CHARS:
+                    out.append((ids, zlib.compress("\0".join(lines).encode(), 1)))
+                    ids, lines, chars = [], [], 0
+            if ids:
+                out.append((ids, zlib.compress("\0".join(lines).encode(), 1)))
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.list_(pa.int64())), pa.array([z for _, z in out], pa.binary())], ["ids", "packed"])
 
-    return fit.select("text", "subjects").mapInPandas(parts, "words array<string>, subjects array<string>")
+    return texts.select("doc_id", "text").mapInArrow(pack, "ids array<long>, packed binary")
 
 
-def own_statements(texts: DataFrame, rules: "RuleSet", unknown: bool) -> DataFrame:
-    """(words, subjects) of statements with the one subject that ``rules`` see in them.
+def unpacked(batches):
+    """(doc_id, statements) of each document."""
+    for b in batches:
+        for ids, z in zip(b.column("ids"), b.column("packed")):
+            texts = zlib.decompress(z.as_py()).decode().split("\0")
+            for i, text in zip(ids.as_py(), texts):
+                yield i, [line.split(" ") for line in text.split("\n") if line]
+
+
+def labelled_statements(batches):
+    """(words, subjects) of the statements of labelled documents, each with all of its document's labels."""
+    for b in batches:
+        for t, subjects in zip(b.column("text").to_pylist(), b.column("subjects").to_pylist()):
+            for w in statements(t):
+                yield w, subjects
 
-    Statements in which they see none are left out, or with ``unknown`` kept without a subject.
+
+def own_statements(rules: Broadcast, unknown: bool):
+    """Reads packed statements as (words, subjects), with the one subject that the ``RuleSet`` sees in each.
+
+    Statements in which it sees none are left out, or with ``unknown`` kept without a subject.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(rules)
+    def read(batches):
+        for _, parts in unpacked(batches):
+            for w in parts:
+                seen = [s for s, e in rules.value.statement(w).items() if e >= CLEAR]
+                if seen or unknown:
+                    yield w, seen
 
-    def parts(batches):
-        rules = shared.value
-        for pdf in batches:
-            rows = []
-            for t in pdf["text"]:
-                for w in statements(t):
-                    seen = [s for s, e in rules.statement(w).items() if e >= CLEAR]
-                    if seen or unknown:
-                        rows.append((w, seen))
-            yield pd.DataFrame(rows, columns=["words", "subjects"])
+    return read
 
-    return texts.select("text").mapInPandas(parts, "words array<string>, subjects array<string>")
 
+def _counted(source: DataFrame, keys: Callable, schema: str) -> DataFrame:
+    """``keys(batches)`` of each task with how often it gave them, handed on before they become too many."""
+    types = pa.schema([("w", pa.list_(pa.string())), ("s", pa.string()), ("n", pa.int64())])
 
-def mine(parted: DataFrame) -> RuleSet:
-    """Class-association rules of statements (words, subjects), which are few by ``FIT_DOCS``."""
-    parted = cut(parted)
-    total = parted.count()
+    def count(batches):
+        held: Counter = Counter()
+
+        def batch():
+            return pa.RecordBatch.from_pydict({"w": [k[0] for k in held], "s": [k[1] for k in held], "n": list(held.values())}, types)
+
+        for key in keys(batches):
+            held[key] += 1
+            if len(held) > HELD:
+                yield batch()
+                held.clear()
+        yield batch()
+
+    return source.mapInArrow(count, schema)
+
+
+def mine(source: DataFrame, read: Callable) -> RuleSet:
+    """Class-association rules of the statements (words, subjects) that ``read`` gives of batches of ``source``.
+
+    Every statement counts. What the driver gets are the telling words, and the
+    sets and rules of them.
+    """
+    def words_and_subjects(batches):
+        for words, subjects in read(batches):
+            yield None, None
+            for s in subjects:
+                yield None, s
+            for w in set(words):
+                yield (w,), None
+                for s in subjects:
+                    yield (w,), s
+
+    counted = _counted(source, words_and_subjects, "w array<string>, s string, n long")
+    counted = cut(counted.groupBy(F.col("w")[0].alias("w"), "s").agg(F.sum("n").alias("n")))
+    whole = {r["s"]: r["n"] for r in counted.where("w is null").collect()}
+    total = whole.pop(None, 0)
     if not total:
         return RuleSet({})
-    prior = {r[0]: r[1] / total for r in parted.select(F.explode("subjects").alias("s")).groupBy("s").count().collect()}
-    each = parted.select(F.explode(F.array_distinct("words")).alias("w"), "subjects")
-    count = each.groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_SUPPORT)
-    pair = each.select("w", F.explode("subjects").alias("s")).groupBy("w", "s").agg(F.count("*").alias("k"))
-    stats = pair.join(count, "w").toPandas()
-    p = stats["s"].map(prior).to_numpy(float)
-    n, k = stats["n"].to_numpy(float), stats["k"].to_numpy(float)
-    z = (k - n * p) / np.sqrt(np.maximum(n * p * (1 - p), 1e-9))
-    telling = set(stats["w"][(z >= np.minimum(MIN_Z, np.sqrt(n))) & (k / n >= np.minimum(1.5 * p, 0.95)) & (k / n >= 0.15)])
+    prior = {s: n / total for s, n in whole.items()}
+    share = source.sparkSession.createDataFrame([(s, p) for s, p in prior.items()], "s string, p double")
+    count = counted.where(F.col("w").isNotNull() & F.col("s").isNull() & (F.col("n") >= MIN_SUPPORT)).select("w", "n")
+    pair = counted.where("w is not null and s is not null").select("w", "s", F.col("n").alias("k"))
+    n, k, p = F.col("n"), F.col("k"), F.col("p")
+    z = (k - n * p) / F.sqrt(F.greatest(n * p * (1 - p), F.lit(1e-9)))
+    clear = (z >= F.least(F.lit(MIN_Z), F.sqrt(n))) & (k / n >= F.least(1.5 * p, F.lit(0.95))) & (k / n >= 0.15)
+    telling = {r["w"] for r in pair.join(count, "w").join(F.broadcast(share), "s").where(clear).select("w").distinct().collect()}
+    known = source.sparkSession.sparkContext.broadcast(telling)
 
     def baskets(batches):
-        for pdf in batches:
-            rows = [(list(q) + ["=" + s for s in subjects],) for words, subjects in zip(pdf["words"], pdf["subjects"]) for q in phrases(list(words), telling)]
-            yield pd.DataFrame(rows, columns=["items"])
-
-    items = cut(parted.mapInPandas(baskets, "items array<string>"))
-    size = items.count()
+        telling = known.value
+        for words, subjects in read(batches):
+            marks = tuple("=" + s for s in subjects)
+            for q in phrases(words, telling):
+                yield q + marks, None
+
+    # Equal baskets of a task are kept once, with their number.
+    packed = cut(_counted(source, baskets, "w array<string>, s string, n long").select("w", "n"))
+    size = packed.agg(F.sum("n")).first()[0]
     if not size:
         return RuleSet({})
-    found = FPGrowth(itemsCol="items", minSupport=MIN_SUPPORT / size, minConfidence=1.0).fit(items).freqItemsets
+    items = packed.select(F.col("w").alias("items"), F.explode(F.sequence(F.lit(1), "n"))).select("items").persist(StorageLevel.MEMORY_ONLY)
+    # Half a phrase less, as the product with the size is rounded up again.
+    found = FPGrowth(itemsCol="items", minSupport=(MIN_SUPPORT - 0.5) / size, minConfidence=1.0).fit(items).freqItemsets
     subjects = F.filter("items", lambda x: x.startswith("="))
     words = F.array_sort(F.filter("items", lambda x: ~x.startswith("=")))
     split = cut(found.select(words.alias("words"), subjects.alias("s"), "freq").where("size(words) > 0 and size(s) <= 1"))
+    items.unpersist()
     alone = split.where("size(s) = 0").select("words", F.col("freq").alias("n"))
     joint = split.where("size(s) = 1").select("words", F.col("s")[0].alias("s"), F.col("freq").alias("k"))
     return RuleSet(prune(joint.join(alone, "words").toPandas(), prior))
 
 
-def fit_rules(documents: DataFrame, fit: DataFrame) -> RuleSet:
-    """Rules from the labels, sharpened on statements.
+def fit_rules(packed: DataFrame, fit: DataFrame) -> RuleSet:
+    """Rules from the labels, sharpened on the statements of all documents.
 
     Labels are few, and hold for whole documents. The first rules therefore mark
-    statements of ``OWN_DOCS`` documents; what stands in one statement with a
+    the statements of all documents; what stands in one statement with a
     known phrase is learnt from these. The last round also counts the statements
     without a subject, which ends words that merely occur in formulas.
     """
-    rules = mine(labelled_statements(fit))
-    texts = documents.where(~is_blank(F.col("text"))).select("doc_id", "text")
-    spread = texts.sparkSession.sparkContext.defaultParallelism
-    sample = cut(texts.orderBy(F.xxhash64("doc_id"), "doc_id").limit(OWN_DOCS).repartition(spread))
+    rules = mine(fit.select("text", "subjects"), labelled_statements)
     for unknown in (False, True):
-        again = mine(own_statements(sample, rules, unknown))
+        shared = packed.sparkSession.sparkContext.broadcast(rules)
+        again = mine(packed, own_statements(shared, unknown))
         rules = again if again.rules else rules
     return rules
 
@@ -294,19 +361,25 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
     each; equal results count once.
     """
     fit = cut(labelled_texts(documents, labels))
-    rules = calibrate(fit_rules(documents, fit), fit)
+    packed = packed_statements(documents.where(~is_blank(F.col("text"))))
+    spread = documents.sparkSession.sparkContext.defaultParallelism
+    # Few files are few tasks; only then is there a shuffle.
+    packed = cut(packed.repartition(spread) if packed.rdd.getNumPartitions() < spread else packed)
+    rules = calibrate(fit_rules(packed, fit), fit)
     shared = documents.sparkSession.sparkContext.broadcast(rules)
 
     def score(batches):
         rules = shared.value
-        for pdf in batches:
+        for b in batches:
             rows = [
-                (i, s, e) for i, t in zip(pdf["doc_id"], pdf["text"]) for s, e in rules.evidence(t).items() if e >= rules.threshold
+                (i, s, e) for i, parts in unpacked([b]) if i is not None for s, e in rules.strongest(parts).items() if e >= rules.threshold
             ]
-            yield pd.DataFrame(rows, columns=["doc_id", "subject", "evidence"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.float64())],
+                ["doc_id", "subject", "evidence"],
+            )
 
-    texts = documents.where(~is_blank(F.col("text")) & F.col("doc_id").isNotNull()).select("doc_id", "text")
-    found = texts.mapInPandas(score, "doc_id long, subject string, evidence double")
+    found = packed.mapInArrow(score, "doc_id long, subject string, evidence double")
     return found.groupBy("doc_id", "subject").agg(F.max("evidence").alias("evidence"))
 
 

@@ -293,6 +293,23 @@ def test_subjects(spark):
     assert subjects.classify(df, lab.limit(0)).count() == 0
 
 
+def test_subjects_learn_from_all_documents(spark):
+    ids = [r.id for r in spark.range(12_400).orderBy(F.xxhash64("id"), "id").collect()]
+    text = {i: "Nothing known here." for i in ids}
+    labels = [(i, ("tax", "sea", "law", "air")[n % 4], "a") for n, i in enumerate(ids[:240])]
+    for i, s, _ in labels:
+        text[i] = f"The {s}term shall be met on time."
+    # Only the documents of the greatest hashes tell what kelp is.
+    for i in ids[-50:-10]:
+        text[i] = "The kelp and the seaterm shall be met on time."
+    for i in ids[-10:]:
+        text[i] = "The kelp shall be met on time."
+    df = spark.createDataFrame(sorted(text.items()), "doc_id long, text string")
+    lab = spark.createDataFrame(labels, "doc_id long, subject string, annotator string")
+    got = {(r.doc_id, r.subject) for r in subjects.classify(df, lab).collect()}
+    assert {(i, "sea") for i in ids[-10:]} <= got and not any(s != "sea" for i, s in got if i in ids[-50:])
+
+
 # All queries ----------------------------------------------------------------
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
