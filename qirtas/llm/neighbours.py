@@ -236,7 +236,8 @@ class MultiIndex:
         grouped = one.withColumn("copy", F.xxhash64("v"))
         alone = grouped.join(many, ["collection", "copy"], "left_anti").drop("copy")
         group = Window.partitionBy("collection", "v").orderBy("id")
-        copied = grouped.join(many, ["collection", "copy"], "left_semi").drop("copy")
+        # Repeated rows of a key are one copy.
+        copied = grouped.join(many, ["collection", "copy"], "left_semi").drop("copy").distinct()
         first = cut(copied.withColumn("rank", F.row_number().over(group)).where(F.col("rank") <= k + 1))
         rest = copied.join(first.select("collection", "id"), ["collection", "id"], "left_anti")
         heads = first.where(F.col("rank") <= k).groupBy("collection", "v").agg(F.collect_list("id").alias("others"))

@@ -171,6 +171,14 @@ def test_neighbours_with_many_copies(spark):
     assert neighbours.MultiIndex(df.limit(0)).pairs(2).count() == 0
 
 
+def test_neighbours_with_repeated_copies(spark):
+    vector = [1.0] + [0.0] * 63
+    rows = [("topic", key, vector) for key in "ABCD" for _ in range(2)] + [("topic", "other", [1.0, 0.5] + [0.0] * 62)]
+    df = spark.createDataFrame(rows, "collection string, key string, embedding array<double>")
+    got = {(r.key_a, r.key_b) for r in neighbours.MultiIndex(df).pairs(5).collect()}
+    assert got == set(itertools.combinations(["A", "B", "C", "D", "other"], 2))
+
+
 # Alignment ------------------------------------------------------------------
 
 def test_hungarian_against_all_assignments():
