@@ -296,9 +296,10 @@ def align(ar: list[str], en: list[str], lexicon) -> list[tuple[int, int, float]]
 
 def _lexicon(rows: pd.DataFrame):
     table: dict[str, list[tuple[str, float]]] = {}
-    for a, e, w in zip(rows["a"], rows["e"], rows["weight"]):
+    entries = rows[rows["a"].notna()]
+    for a, e, w in zip(entries["a"], entries["e"], entries["weight"]):
         table.setdefault(a, []).append((e, w))
-    idf_a, idf_e = dict(zip(rows["a"], rows["idf_a"])), dict(zip(rows["e"], rows["idf_e"]))
+    idf_a, idf_e = dict(zip(entries["a"], entries["idf_a"])), dict(zip(rows["e"], rows["idf_e"]))
     return table, idf_a, idf_e, 1.0
 
 
@@ -330,17 +331,26 @@ def aligned_sentences(legal: DataFrame) -> DataFrame:
 
     def vocabulary(batches):
         for pdf in batches:
-            yield pd.DataFrame([(k, w) for k, ar in zip(pdf["document_id"], pdf["ar"]) for w in {w for _, s in sentences(ar) for w in words(s)}], columns=["document_id", "a"])
-
-    own = docs.select("document_id", "ar").mapInPandas(vocabulary, "document_id string, a string")
-    own = own.join(lexicon, "a").groupBy("document_id").agg(F.collect_list(F.struct("a", "e", "weight", "idf_a", "idf_e")).alias("lex"))
+            rows = [(k, side, w) for k, *both in zip(pdf["document_id"], pdf["ar"], pdf["en"]) for side, text in zip("ae", both) for w in {w for _, s in sentences(text) for w in words(s)}]
+            yield pd.DataFrame(rows, columns=["document_id", "side", "w"])
+
+    # Entries of the document's Arabic words, and the weights of its English words, also of those without an entry there.
+    own = docs.mapInPandas(vocabulary, "document_id string, side string, w string")
+    nothing = F.lit(None).cast("string")
+    entries = own.where("side = 'a'").withColumnRenamed("w", "a").join(lexicon, "a")
+    idf_e = lexicon.groupBy("e").agg(F.first("idf_e").alias("idf_e"))
+    other = own.where("side = 'e'").withColumnRenamed("w", "e").join(idf_e, "e")
+    fields = ["document_id", "a", "e", "weight", "idf_a", "idf_e"]
+    other = other.withColumns({"a": nothing, "weight": F.lit(None).cast("double"), "idf_a": F.lit(None).cast("double")})
+    own = entries.select(fields).unionByName(other.select(fields)).groupBy("document_id").agg(F.collect_list(F.struct(*fields[1:])).alias("lex"))
 
     def pair_own(batches):
         for pdf in batches:
             rows = []
             for k, ar, en, lex in zip(pdf["document_id"], pdf["ar"], pdf["en"], pdf["lex"]):
+                lex = [] if lex is None else lex
                 entries = pd.DataFrame([tuple(x) if not isinstance(x, dict) else tuple(x.values()) for x in lex], columns=["a", "e", "weight", "idf_a", "idf_e"])
                 rows += rows_of(k, ar, en, _lexicon(entries))
             yield pd.DataFrame(rows, columns=names)
 
-    return docs.join(own, "document_id").mapInPandas(pair_own, schema)
+    return docs.join(own, "document_id", "left").mapInPandas(pair_own, schema)

@@ -237,6 +237,17 @@ def test_alignment_finds_the_planted_pairs(spark):
         alignment.BROADCAST_ROWS = limit
 
 
+def test_joined_lexicon_gives_what_the_broadcast_one_gives(spark, monkeypatch):
+    rows, _ = bilingual_corpus(60)
+    rows += [("numbers", "غغغ 1234 5678 9012.\nضضض 4321 8765 2109.\n", "Zzz 1234 5678 9012.\nYyy 4321 8765 2109.\n", "x")]
+    df = spark.createDataFrame(rows, "id string, contentAr string, contentEn string, other string")
+    found = []
+    for limit in (alignment.BROADCAST_ROWS, -1):
+        monkeypatch.setattr(alignment, "BROADCAST_ROWS", limit)
+        found.append({(r.document_id, r.ar_pos, r.en_pos, round(r.score, 9)) for r in alignment.aligned_sentences(df).collect()})
+    assert found[0] == found[1] and any(r[0] == "numbers" for r in found[0])
+
+
 # Boilerplate ----------------------------------------------------------------
 
 def page(i, lang="main"):
