@@ -1,11 +1,15 @@
 """Subject areas of documents by mined class-association rules.
 
-Labelled documents are cut into statements, citations of other instruments are
-left out, and each statement into phrases of telling words. Parallel FP-growth
-mines the frequent word sets together with the label; a set that predicts a
-subject becomes a rule unless a smaller set predicts it as well. A document has
-the subjects that its statements' matching rules give enough evidence for; the
-evidence is calibrated on labelled documents.
+Documents are cut into statements, citations of other instruments are left out,
+and each statement into phrases of telling words. Parallel FP-growth mines the
+frequent word sets together with a subject; a set that predicts a subject becomes
+a rule unless a smaller set predicts it as well. The first rules come from the
+labels. They mark the statements of all documents, which propose more rules;
+how far a rule is believed is measured on labelled documents, and on what the
+rest of each document says, so that a formula, which stands in documents of all
+subjects, can't bear itself out. A document has the subjects that its statements' matching
+rules give enough evidence for, calibrated per subject on labelled documents that
+no rule has seen.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from collections import Counter
 from collections.abc import Callable
 from itertools import combinations
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast, StorageLevel
@@ -37,8 +42,14 @@ MIN_SUPPORT, MIN_CONFIDENCE = 3, 0.4
 GAIN = 0.05
 #: Telling words: standard deviations above what chance would give some subject.
 MIN_Z = 3.0
-#: Words of a phrase that can be in one rule, at most.
+#: A rule's words stand within so many telling words that follow on one another.
 MAX_PHRASE = 5
+#: Labelled documents that a rule's confidence on the statements of all documents counts for beside those with its words.
+OWN_WEIGHT = 3
+#: One labelled document in so many is held out of the rules, for the calibration.
+HELD_OUT = 4
+#: Documents that the common threshold counts for in a subject's own.
+POOLED = 20
 #: Characters of statements that are packed together, and counts that a task holds before it hands them on.
 PACK_CHARS, HELD = 200_000, 200_000
 
@@ -84,55 +95,67 @@ def statements(text: str) -> list[list[str]]:
 
 
 def phrases(words: list[str], telling) -> list[tuple[str, ...]]:
-    """Runs of telling words, each as a sorted set of at most ``MAX_PHRASE`` words."""
+    """Every ``MAX_PHRASE`` telling words that follow on one another, or fewer where a run is shorter, as sorted sets."""
     out, run = [], []
     for w in [*words, ""]:
         if w in telling:
             run.append(w)
         elif run:
-            for i in range(0, len(run), MAX_PHRASE):
+            for i in range(max(1, len(run) - MAX_PHRASE + 1)):
                 out.append(tuple(sorted(set(run[i : i + MAX_PHRASE]))))
             run = []
     return out
 
 
 class RuleSet:
-    """Rules {word set: (subject, confidence)} and the calibration of their evidence."""
+    """Rules {word set: (subject, confidence)} and the evidence from which on each subject is given."""
 
-    def __init__(self, rules: dict[tuple[str, ...], tuple[str, float]], threshold: float = 0.0):
-        self.rules, self.threshold = rules, threshold
+    def __init__(self, rules: dict[tuple[str, ...], tuple[str, float]], thresholds: dict[str, float] | None = None):
+        self.rules, self.thresholds = rules, thresholds or {}
         self.telling = {w for a in rules for w in a}
         self.sizes = sorted({len(a) for a in rules}, reverse=True)
 
-    def match(self, phrase: tuple[str, ...]) -> tuple[str, float] | None:
-        """The most specific matching rule, the most confident of that size."""
+    def match(self, phrase: tuple[str, ...]) -> tuple[tuple[str, ...], str, float] | None:
+        """(word set, subject, log odds) of the most specific matching rule, the most confident of that size."""
         for size in self.sizes:
             if size <= len(phrase):
-                hits = [self.rules[a] for a in combinations(phrase, size) if a in self.rules]
+                hits = [(self.rules[a][1], self.rules[a][0], a) for a in combinations(phrase, size) if a in self.rules]
                 if hits:
-                    return max(hits, key=lambda h: (h[1], h[0]))
+                    confidence, subject, a = max(hits)
+                    return a, subject, max(math.log(confidence / (1 - confidence)) + 1.0, 0.05)
         return None
 
-    def statement(self, words: list[str]) -> dict[str, float]:
-        """Subject -> evidence in log odds, less what other subjects have, where positive."""
+    def contained(self, words: list[str]) -> set[tuple[str, ...]]:
+        """The word sets of all rules in a statement's phrases, also of those that a larger one overrules."""
+        memo = self.__dict__.setdefault("_within", {})
+        out: set = set()
+        for p in phrases(words, self.telling):
+            if p not in memo:
+                if len(memo) > 200_000:
+                    memo.clear()
+                memo[p] = [a for size in self.sizes if size <= len(p) for a in combinations(p, size) if a in self.rules]
+            out.update(memo[p])
+        return out
+
+    def hits(self, words: list[str]) -> dict[tuple[str, ...], tuple[str, float]]:
+        """Word set -> (subject, log odds) of the rules that a statement's phrases match, each once."""
         memo = self.__dict__.setdefault("_memo", {})
-        total: dict[str, float] = {}
+        out = {}
         for p in phrases(words, self.telling):
             if p not in memo:
                 if len(memo) > 200_000:
                     memo.clear()
                 memo[p] = self.match(p)
             if hit := memo[p]:
-                odds = math.log(hit[1] / (1 - hit[1])) + 1.0
-                total[hit[0]] = total.get(hit[0], 0.0) + max(odds, 0.05)
-        whole = sum(total.values())
-        return {s: 2 * e - whole for s, e in total.items() if 2 * e > whole}
+                out[hit[0]] = hit[1:]
+        return out
 
-    def evidence(self, text: str) -> dict[str, float]:
-        """Subject -> the evidence of the strongest statement for it."""
-        return self.strongest(statements(text))
+    def statement(self, words: list[str]) -> dict[str, float]:
+        """Subject -> evidence in log odds, less what other subjects have, where positive."""
+        return weighed(self.hits(words))
 
     def strongest(self, parts: list[list[str]]) -> dict[str, float]:
+        """Subject -> the evidence of the strongest of the statements for it."""
         best: dict[str, float] = {}
         for words in parts:
             for s, e in self.statement(words).items():
@@ -140,8 +163,20 @@ class RuleSet:
                     best[s] = e
         return best
 
+    def given(self, parts: list[list[str]]) -> list[tuple[str, float]]:
+        """(subject, evidence) of the subjects of a document."""
+        return [(s, e) for s, e in self.strongest(parts).items() if e >= self.thresholds.get(s, 0.0)]
+
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_memo"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_memo", "_within")}
+
+
+def weighed(hits: dict[tuple[str, ...], tuple[str, float]]) -> dict[str, float]:
+    total: dict[str, float] = {}
+    for s, odds in hits.values():
+        total[s] = total.get(s, 0.0) + odds
+    whole = sum(total.values())
+    return {s: 2 * e - whole for s, e in total.items() if 2 * e > whole}
 
 
 def labelled_texts(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -181,16 +216,15 @@ def unpacked(batches):
                 yield i, [line.split(" ") for line in text.split("\n") if line]
 
 
-def labelled_statements(batches):
-    """(words, subjects) of the statements of labelled documents, each with all of its document's labels."""
+def labelled_documents(batches):
+    """([statements], subjects) of labelled documents: what a document repeats is one witness of its labels."""
     for b in batches:
         for t, subjects in zip(b.column("text").to_pylist(), b.column("subjects").to_pylist()):
-            for w in statements(t):
-                yield w, subjects
+            yield statements(t), subjects
 
 
 def own_statements(rules: Broadcast, unknown: bool):
-    """Reads packed statements as (words, subjects), with the one subject that the ``RuleSet`` sees in each.
+    """Reads packed statements as ([words], subjects), with the one subject that the ``RuleSet`` sees in each.
 
     Statements in which it sees none are left out, or with ``unknown`` kept without a subject.
     """
@@ -199,7 +233,7 @@ def own_statements(rules: Broadcast, unknown: bool):
             for w in parts:
                 seen = [s for s, e in rules.value.statement(w).items() if e >= CLEAR]
                 if seen or unknown:
-                    yield w, seen
+                    yield [w], seen
 
     return read
 
@@ -224,18 +258,18 @@ def _counted(source: DataFrame, keys: Callable, schema: str) -> DataFrame:
     return source.mapInArrow(count, schema)
 
 
-def mine(source: DataFrame, read: Callable) -> RuleSet:
-    """Class-association rules of the statements (words, subjects) that ``read`` gives of batches of ``source``.
+def mine(source: DataFrame, read: Callable) -> tuple[RuleSet, dict[str, float]]:
+    """Class-association rules of the cases ([statements], subjects) that ``read`` gives of batches of ``source``, and the subjects' shares.
 
-    Every statement counts. What the driver gets are the telling words, and the
+    Every case counts, a word or phrase once in it. What the driver gets are the telling words, and the
     sets and rules of them.
     """
     def words_and_subjects(batches):
-        for words, subjects in read(batches):
+        for parts, subjects in read(batches):
             yield None, None
             for s in subjects:
                 yield None, s
-            for w in set(words):
+            for w in {w for words in parts for w in words}:
                 yield (w,), None
                 for s in subjects:
                     yield (w,), s
@@ -245,7 +279,7 @@ def mine(source: DataFrame, read: Callable) -> RuleSet:
     whole = {r["s"]: r["n"] for r in counted.where("w is null").collect()}
     total = whole.pop(None, 0)
     if not total:
-        return RuleSet({})
+        return RuleSet({}), {}
     prior = {s: n / total for s, n in whole.items()}
     share = source.sparkSession.createDataFrame([(s, p) for s, p in prior.items()], "s string, p double")
     count = counted.where(F.col("w").isNotNull() & F.col("s").isNull() & (F.col("n") >= MIN_SUPPORT)).select("w", "n")
@@ -258,16 +292,16 @@ def mine(source: DataFrame, read: Callable) -> RuleSet:
 
     def baskets(batches):
         telling = known.value
-        for words, subjects in read(batches):
+        for parts, subjects in read(batches):
             marks = tuple("=" + s for s in subjects)
-            for q in phrases(words, telling):
+            for q in {q for words in parts for q in phrases(words, telling)}:
                 yield q + marks, None
 
     # Equal baskets of a task are kept once, with their number.
     packed = cut(_counted(source, baskets, "w array<string>, s string, n long").select("w", "n"))
     size = packed.agg(F.sum("n")).first()[0]
     if not size:
-        return RuleSet({})
+        return RuleSet({}), prior
     items = packed.select(F.col("w").alias("items"), F.explode(F.sequence(F.lit(1), "n"))).select("items").persist(StorageLevel.MEMORY_ONLY)
     # Half a phrase less, as the product with the size is rounded up again.
     found = FPGrowth(itemsCol="items", minSupport=(MIN_SUPPORT - 0.5) / size, minConfidence=1.0).fit(items).freqItemsets
@@ -277,80 +311,164 @@ def mine(source: DataFrame, read: Callable) -> RuleSet:
     items.unpersist()
     alone = split.where("size(s) = 0").select("words", F.col("freq").alias("n"))
     joint = split.where("size(s) = 1").select("words", F.col("s")[0].alias("s"), F.col("freq").alias("k"))
-    return RuleSet(prune(joint.join(alone, "words").toPandas(), prior))
+    return RuleSet(prune(best_subjects(joint.join(alone, "words").toPandas(), prior), prior)), prior
 
 
 def fit_rules(packed: DataFrame, fit: DataFrame) -> RuleSet:
-    """Rules from the labels, sharpened on the statements of all documents.
+    """Rules from the labels, extended and sharpened on the statements of all documents.
 
     Labels are few, and hold for whole documents. The first rules therefore mark
     the statements of all documents; what stands in one statement with a
-    known phrase is learnt from these. The last round also counts the statements
-    without a subject, which ends words that merely occur in formulas.
+    known phrase is proposed by these. The last round also counts the statements
+    without a subject, which ends words that merely occur in formulas. What the
+    rules have marked themselves only proposes: every round ends with ``borne_out``.
     """
-    rules = mine(fit.select("text", "subjects"), labelled_statements)
+    rules, _ = mine(fit.select("text", "subjects"), labelled_documents)
     for unknown in (False, True):
         shared = packed.sparkSession.sparkContext.broadcast(rules)
-        again = mine(packed, own_statements(shared, unknown))
-        rules = again if again.rules else rules
+        again, prior = mine(packed, own_statements(shared, unknown))
+        if again.rules:
+            rules = borne_out(again, packed, fit, prior)
     return rules
 
 
-def prune(table: pd.DataFrame, prior: dict[str, float]) -> dict[tuple[str, ...], tuple[str, float]]:
-    """One rule per word set (words, s, k, n): its best subject, unless a smaller set says the same as well.
+def standing(parts: list[list[str]], rules: RuleSet) -> dict[tuple[str, ...], bool]:
+    """The rules whose words stand in a document, with whether the rest of it has their subject too.
+
+    The rest are the rules that stand in no statement together with this one, so
+    that a sentence that is repeated doesn't confirm its copy. A rest without any
+    subject says nothing; the rule is left out there.
+    """
+    bearing: dict[str, set] = {}
+    beside: dict[tuple[str, ...], set] = {}
+    for words in parts:
+        hits = rules.hits(words)
+        clear = {s for s, e in weighed(hits).items() if e >= CLEAR}
+        for a, (s, _) in hits.items():
+            if s in clear:
+                bearing.setdefault(s, set()).add(a)
+        held = rules.contained(words)
+        for a in held:
+            beside.setdefault(a, set()).update(held)
+    out = {}
+    for a, with_it in beside.items():
+        rest = {s for s, sets in bearing.items() if not sets <= with_it}
+        if rest:
+            out[a] = rules.rules[a][0] in rest
+    return out
+
+
+def borne_out(rules: RuleSet, packed: DataFrame, fit: DataFrame, prior: dict[str, float]) -> RuleSet:
+    """The rules with their confidence measured on what they have not marked themselves.
+
+    Of n labelled documents that a rule's words stand in, k have its subject;
+    ``OWN_WEIGHT`` documents more count with the confidence that it had. If of the
+    documents whose rest has subjects less than ``MIN_CONFIDENCE`` have the rule's
+    there, that share counts where lower: a formula stands in documents of all subjects.
+    """
+    names = list(rules.rules)
+    shared = fit.sparkSession.sparkContext.broadcast((rules, {a: i for i, a in enumerate(names)}))
+    schema = "rule long, hit boolean, n long"
+
+    def rest(batches):
+        rules, number = shared.value
+        held: Counter = Counter()
+        for _, parts in unpacked(batches):
+            held.update((number[a], hit) for a, hit in standing(parts, rules).items())
+        yield pa.RecordBatch.from_pydict({"rule": [i for i, _ in held], "hit": [h for _, h in held], "n": list(held.values())}, pa.schema([("rule", pa.int64()), ("hit", pa.bool_()), ("n", pa.int64())]))
+
+    def labelled(batches):
+        rules, number = shared.value
+        held: Counter = Counter()
+        for pdf in batches:
+            for t, subjects in zip(pdf["text"], pdf["subjects"]):
+                held.update((number[a], rules.rules[a][0] in subjects) for a in {a for w in statements(t) for a in rules.contained(w)})
+        yield pd.DataFrame([(i, hit, n) for (i, hit), n in held.items()], columns=["rule", "hit", "n"])
+
+    def measured(counted: DataFrame) -> dict[int, tuple[int, int]]:
+        total = counted.groupBy("rule").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("hit"), F.col("n")).otherwise(0)).alias("k")).toPandas()
+        return {int(i): (int(n), int(k)) for i, n, k in total[["rule", "n", "k"]].itertuples(index=False)}
+
+    everywhere, by_hand = measured(packed.mapInArrow(rest, schema)), measured(fit.select("text", "subjects").mapInPandas(labelled, schema))
+    out = {}
+    for i, (a, (subject, confidence)) in enumerate(rules.rules.items()):
+        n, k = by_hand.get(i, (0, 0))
+        own = (k + OWN_WEIGHT * confidence) / (n + OWN_WEIGHT)
+        n, k = everywhere.get(i, (0, 0))
+        share = (k + OWN_WEIGHT * confidence) / (n + OWN_WEIGHT)
+        out[a] = subject, min(own, share) if share < MIN_CONFIDENCE else own
+    return RuleSet(prune(out, prior))
+
+
+def best_subjects(table: pd.DataFrame, prior: dict[str, float]) -> dict[tuple[str, ...], tuple[str, float]]:
+    """The best subject of every word set of (words, s, k, n).
 
     Confidence is shrunk to the subject's prior, so that few phrases count for little.
     """
     best: dict[tuple[str, ...], tuple[str, float]] = {}
     for words, s, k, n in table[["words", "s", "k", "n"]].itertuples(index=False):
         subject = s[1:]
-        confidence = (k + 2 * prior.get(subject, 0.0)) / (n + 2)
+        confidence = min((k + 2 * prior.get(subject, 0.0)) / (n + 2), 0.995)
         a = tuple(words)
         if a not in best or (confidence, subject) > (best[a][1], best[a][0]):
-            best[a] = (subject, min(confidence, 0.995))
+            best[a] = (subject, confidence)
+    return best
+
+
+def prune(best: dict[tuple[str, ...], tuple[str, float]], prior: dict[str, float]) -> dict[tuple[str, ...], tuple[str, float]]:
+    """The rules {word set: (subject, confidence)} but those of which a smaller set says the same as well."""
     kept: dict[tuple[str, ...], tuple[str, float]] = {}
     for a in sorted(best, key=lambda a: (len(a), a)):
         subject, confidence = best[a]
+        smaller = [kept[b] for size in range(1, len(a)) for b in combinations(a, size) if b in kept]
         if confidence < MIN_CONFIDENCE or confidence < 1.3 * prior.get(subject, 0.0):
             # A smaller set may predict what this one does not bear out.
-            if any(b in kept for size in range(1, len(a)) for b in combinations(a, size)):
+            if smaller:
                 kept[a] = (subject, confidence)
             continue
-        smaller = [kept[b] for size in range(1, len(a)) for b in combinations(a, size) if b in kept]
         if any(s == subject and c >= confidence - GAIN for s, c in smaller) and not any(s != subject for s, c in smaller):
             continue
         kept[a] = (subject, confidence)
     return kept
 
 
-def calibrate(rules: RuleSet, fit: DataFrame) -> RuleSet:
-    """``rules`` with the evidence from which on a subject is given.
+def calibrate(rules: RuleSet, held: DataFrame) -> RuleSet:
+    """``rules`` with the evidence from which on each subject is given.
 
-    The threshold is the lowest of those with about the best F1 on the labelled
-    documents, which are bounded; only the distribution of evidence is collected.
+    The threshold of a subject has about the best F1 on ``held``, labelled
+    documents that the rules have not seen; what all subjects have there counts for a
+    share of ``POOLED`` documents, so that a subject with few of them keeps near the
+    common threshold. Only the distribution of evidence is collected.
     """
     def score(batches):
         for pdf in batches:
             rows = []
             for t, subjects in zip(pdf["text"], pdf["subjects"]):
-                given, seen = set(subjects), rules.evidence(t)
-                rows += [(round(e, 1), s in given) for s, e in seen.items()]
-                rows += [(-1.0, True) for s in given if s not in seen]
-            yield pd.DataFrame(rows, columns=["e", "hit"])
-
-    counted = fit.select("text", "subjects").mapInPandas(score, "e double, hit boolean").groupBy("e", "hit").count().toPandas()
-    if not len(counted):
-        return rules
-    wanted = counted.loc[counted["hit"], "count"].sum()
-    f1 = {}
-    for t in sorted(set(counted["e"][counted["e"] > 0])):
-        above = counted[counted["e"] >= t]
-        hits = above.loc[above["hit"], "count"].sum()
-        f1[t] = 2 * hits / max(1, above["count"].sum() + wanted)
-    if not f1:
+                given, seen = set(subjects), rules.strongest(statements(t))
+                rows += [(s, round(e, 1), s in given) for s, e in seen.items()]
+                rows += [(s, -1.0, True) for s in given if s not in seen]
+            yield pd.DataFrame(rows, columns=["s", "e", "hit"])
+
+    counted = held.select("text", "subjects").mapInPandas(score, "s string, e double, hit boolean").groupBy("s", "e", "hit").count().toPandas()
+    whole = counted["count"].sum()
+    if not whole:
         return rules
-    # Labels are incomplete, so of thresholds that do about as well the lowest is right.
-    return RuleSet(rules.rules, min(t for t, v in f1.items() if v >= max(f1.values()) - 0.005) - 0.05)
+    steps = sorted({CLEAR, *counted["e"][counted["e"] > 0]})
+
+    def curve(part):
+        """(hits, given, wanted) at each step."""
+        wanted = part.loc[part["hit"], "count"].sum()
+        above = [part[part["e"] >= t] for t in steps]
+        return np.array([[x.loc[x["hit"], "count"].sum(), x["count"].sum(), wanted] for x in above], float)
+
+    common = curve(counted) * (POOLED / whole)
+    thresholds = {}
+    for s in {s for s, _ in rules.rules.values()}:
+        hits, given, wanted = (curve(counted[counted["s"] == s]) + common).T
+        f1 = 2 * hits / np.maximum(1e-9, given + wanted)
+        # Labels are incomplete, so of thresholds that do about as well the lowest is right.
+        thresholds[s] = min(t for t, v in zip(steps, f1) if v >= f1.max() - 0.005) - 0.05
+    return RuleSet(rules.rules, thresholds)
 
 
 def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -365,14 +483,15 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
     spread = documents.sparkSession.sparkContext.defaultParallelism
     # Few files are few tasks; only then is there a shuffle.
     packed = cut(packed.repartition(spread) if packed.rdd.getNumPartitions() < spread else packed)
-    rules = calibrate(fit_rules(packed, fit), fit)
+    out = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(HELD_OUT)) == 0
+    rules = calibrate(fit_rules(packed, fit.where(~out)), fit.where(out))
     shared = documents.sparkSession.sparkContext.broadcast(rules)
 
     def score(batches):
         rules = shared.value
         for b in batches:
             rows = [
-                (i, s, e) for i, parts in unpacked([b]) if i is not None for s, e in rules.strongest(parts).items() if e >= rules.threshold
+                (i, s, e) for i, parts in unpacked([b]) if i is not None for s, e in rules.given(parts)
             ]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.float64())],

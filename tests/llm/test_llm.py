@@ -329,6 +329,27 @@ def test_subjects_learn_from_all_documents(spark):
     assert {(i, "sea") for i in ids[-10:]} <= got and not any(s != "sea" for i, s in got if i in ids[-50:])
 
 
+def test_formulas_are_no_rules(spark):
+    """Closing formulas of two languages, each often in documents of one skewed subject, predict none."""
+    rng = random.Random(4)
+    terms = {s: [[f"{s}{lang}{c}" for c in "abcdef"] for lang in ("en", "fr")] for s in ("tax", "sea", "law", "air")}
+    formulas = ["Whatever conflicts with these provisions is hereby set aside.", "Le présent acte entre en vigueur le lendemain."]
+    docs, labels = [], []
+    for i in range(600):
+        lang = i % 2
+        s = rng.choices(sorted(terms), [6, 2, 1, 1])[0]
+        said = [f"The {a} shall meet the {b} on time." for a, b in (rng.sample(terms[s][lang], 2) for _ in range(4))]
+        docs.append((i, " ".join([*said, *([formulas[lang]] if rng.random() < 0.7 else [])]), s))
+        if i % 4 < 2 and i < 400:
+            labels.append((i, s if rng.random() < 0.93 else "air", "a"))
+    formula_only = [(1000 + i, formulas[i % 2], None) for i in range(20)]
+    df = spark.createDataFrame([d[:2] for d in docs + formula_only], "doc_id long, text string")
+    got = {(r.doc_id, r.subject) for r in subjects.classify(df, spark.createDataFrame(labels, "doc_id long, subject string, annotator string")).collect()}
+    want = {(i, s) for i, _, s in docs}
+    assert not [g for g in got if g[0] >= 1000]
+    assert len(got & want) / len(want) > 0.95 and len(got & want) / len(got) > 0.95
+
+
 # All queries ----------------------------------------------------------------
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
