@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from qirtas.functions.text import strip, token_count
 from qirtas.session import cut
 
-#: The block is as large as needed to keep the schedule within this many slots.
-MAX_SLOTS = 50_000
+#: Slots of the schedule where no block size is given: no source is further from its share than the size of all documents by this.
+SLOTS = 50_000
 MIN_BLOCK = 1024
 #: Running totals of one source are taken in this many independent buckets.
 ORDER_BUCKETS = 1024
@@ -54,9 +54,12 @@ class Mixture:
     ``target_share`` of it, or all it has ``max_repeats`` times if that is less.
     Sources are compared lower-case without outer white space; sources without a
     target count in ``T`` but give nothing; targets that are null give nothing.
+    ``block`` is the number of tokens of a slot, and with it the deviation that is
+    accepted; the schedule has ``T / block`` slots and is made on the driver. Without it
+    the deviation is the same share of ``T`` at every size, 1 in ``SLOTS``.
     """
 
-    def __init__(self, documents: DataFrame, targets: DataFrame):
+    def __init__(self, documents: DataFrame, targets: DataFrame, block: int | None = None):
         source = F.lower(strip(F.col("source")))
         self.documents = documents.select("doc_id", source.alias("source"), token_count(F.col("text")).alias("tokens"))
         wanted = targets.select(source.alias("source"), "target_share", "max_repeats").where("source <> ''").toPandas()
@@ -67,7 +70,7 @@ class Mixture:
         total = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         held = totals.where(F.col("source").isin(list(wanted["source"]))).toPandas().set_index("source")["n"].to_dict()
         self.total = int(total)
-        self.block = max(MIN_BLOCK, math.ceil(self.total / MAX_SLOTS))
+        self.block = block or max(MIN_BLOCK, math.ceil(self.total / SLOTS))
         rows = []
         for r in wanted.itertuples():
             own = int(held.get(r.source, 0))
@@ -75,23 +78,30 @@ class Mixture:
             repeats = 0 if pd.isna(r.max_repeats) else int(r.max_repeats)
             rows.append((r.source, share, repeats, own, share * self.total, repeats * own))
         self.plan = pd.DataFrame(rows, columns=["source", "target_share", "max_repeats", "own_tokens", "target_tokens", "supply_tokens"])
-        self.plan["short"] = self.plan["target_tokens"] > self.plan["supply_tokens"]
         self.plan["quota_tokens"] = self.plan[["target_tokens", "supply_tokens"]].min(axis=1)
         limits = {r.source: math.ceil(r.quota_tokens / self.block) for r in self.plan.itertuples()}
         self.order = schedule(dict(zip(self.plan["source"], self.plan["target_share"])), limits)
 
     def report(self) -> DataFrame:
-        """(source, target_share, actual_share, own_tokens, quota_tokens, n_blocks, short)."""
+        """(source, target_share, actual_share, own_tokens, target_tokens, mixed_tokens, n_blocks, block_tokens, short).
+
+        ``mixed_tokens`` are those that the schedule has placed; a source is short
+        if they are less than its target, as it has been used ``max_repeats`` times then.
+        """
         blocks = pd.Series([s for s, _ in self.order], dtype=object).value_counts()
         plan = self.plan.assign(n_blocks=self.plan["source"].map(blocks).fillna(0).astype("int64"))
         spark = self.documents.sparkSession
-        schema = "source string, target_share double, own_tokens long, quota_tokens double, n_blocks long, short boolean"
-        rows = list(plan[["source", "target_share", "own_tokens", "quota_tokens", "n_blocks", "short"]].itertuples(index=False, name=None))
+        schema = "source string, target_share double, own_tokens long, target_tokens double, n_blocks long"
+        rows = list(plan[["source", "target_share", "own_tokens", "target_tokens", "n_blocks"]].itertuples(index=False, name=None))
         mixed = self.rows().groupBy("source").agg(F.sum("tokens").alias("mixed_tokens"))
         out = spark.createDataFrame(rows, schema).join(mixed, "source", "left").fillna(0, ["mixed_tokens"])
         # One row per target, so the window over all of them is small.
         whole = F.sum("mixed_tokens").over(Window.partitionBy(F.lit(1)))
-        return out.withColumn("actual_share", F.coalesce(F.col("mixed_tokens") / F.nullif(whole, F.lit(0)), F.lit(0.0)))
+        return out.withColumns({
+            "block_tokens": F.lit(self.block).cast("long"),
+            "short": F.col("mixed_tokens") < F.col("target_tokens"),
+            "actual_share": F.coalesce(F.col("mixed_tokens") / F.nullif(whole, F.lit(0)), F.lit(0.0)),
+        })
 
     def rows(self) -> DataFrame:
         """(slot, source, repeat, doc_id, tokens): the mixture in its order.
@@ -126,7 +136,7 @@ class Mixture:
         blocks = spark.createDataFrame(
             [(s, j, i) for i, (s, j) in enumerate(self.order)] or [("", -1, 0)], "source string, block long, slot int"
         )
-        # At most MAX_SLOTS rows, so the schedule may be sent to every task.
+        # One row per slot, so the schedule may be sent to every task.
         return (
             repeated.withColumn("block", at).join(F.broadcast(blocks), ["source", "block"])
             .select("slot", "source", "repeat", "doc_id", "tokens")
@@ -134,7 +144,5 @@ class Mixture:
 
 
 def short_sources(documents: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source) of the targets that the schedule cannot fill for want of supply."""
-    mixture = Mixture(documents, targets)
-    short = [(s,) for s in mixture.plan.loc[mixture.plan["short"], "source"]]
-    return documents.sparkSession.createDataFrame(short, "source string")
+    """(source) of the targets that the mixture falls short of, repeats and all."""
+    return Mixture(documents, targets).report().where("short").select("source")
