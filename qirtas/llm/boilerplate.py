@@ -25,8 +25,6 @@ _TAG = re.compile(r"<[^>]*>")
 _NAME = re.compile(r"<(/?)\s*([a-zA-Z][a-zA-Z0-9]*)")
 _CLASS = re.compile(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _DIGITS = re.compile(r"[0-9٠-٩]+")
-#: The number of an instrument and a colon: how page headings and lists name an instrument.
-_ENTRY = re.compile(r"#\s*/\s*#\s*:")
 
 CONTAINERS = frozenset("body div td th nav aside article section main footer header form".split())
 LAYOUT = frozenset("html head table tbody thead tr ul ol dl".split())
@@ -43,8 +41,11 @@ OUT_SHARE, OUT_PAGES = 0.1, 2
 SCHEMA = (
     "page_id long, host string, "
     "containers array<struct<cid:int,path:string,score:double,best:boolean>>, "
-    "runs array<struct<run_no:int,within:array<int>,heading:boolean,entry:boolean,run_hash:long,block_hash:long,text:string>>"
+    "runs array<struct<run_no:int,within:array<int>,heading:boolean,run_hash:long,block_hash:long,lead_hash:long,text:string>>"
 )
+#: What is voted on: the stretch between two tags, its whole block, and what the block has in front of its last colon
+#: (lists of other instruments name each in one form, whatever its title).
+VOTED = ("run_hash", "block_hash", "lead_hash")
 
 
 class _Element:
@@ -116,7 +117,7 @@ def _kind(element: _Element) -> str:
     return _DIGITS.sub("#", "." + ".".join(element.cls.split())) if element.cls else "td" if element.name == "th" else element.name
 
 
-def analyse(html: str) -> tuple[list[tuple], list[tuple]]:
+def analyse(html: str, texts: bool = True) -> tuple[list[tuple], list[tuple]]:
     """The containers and runs of a page, in the form of ``SCHEMA``."""
     parsed = parse_runs(html)
     blocks: dict[int, list[str]] = {}
@@ -158,7 +159,8 @@ def analyse(html: str) -> tuple[list[tuple], list[tuple]]:
     runs = []
     for no, within, heading, text, key in rows:
         block = whole.get(key, "")
-        runs.append((no, within, heading, bool(_ENTRY.search(block)) and not heading, _hash(masked(text)), _hash(block), text))
+        lead, colon, _ = block.rpartition(":")
+        runs.append((no, within, heading, _hash(masked(text)), _hash(block), _hash(lead.strip()) if colon else None, text if texts else None))
     return [(cid, path, score, cid == best) for cid, path, score in scored], runs
 
 
@@ -167,16 +169,17 @@ def _host(url):
     return m.group(1).lower().rpartition("@")[2] if m else ""
 
 
-def analysed_pages(pages: DataFrame) -> DataFrame:
+def analysed_pages(pages: DataFrame, texts: bool = True) -> DataFrame:
     """One row per page (``SCHEMA``); of repeated rows of a page the greatest counts.
 
-    Pages with null or empty HTML have no containers and no runs.
+    Pages with null or empty HTML have no containers and no runs. Without ``texts``
+    the texts of the runs are null.
     """
     one = pages.where("page_id is not null").groupBy("page_id").agg(F.max(F.struct("content_html", "source_url")).alias("p"))
 
     def parse(batches):
         for pdf in batches:
-            parts = [analyse(h or "") for h in pdf["content_html"]]
+            parts = [analyse(h or "", texts) for h in pdf["content_html"]]
             yield pd.DataFrame({
                 "page_id": pdf["page_id"], "host": [_host(u) for u in pdf["source_url"]],
                 "containers": [p[0] for p in parts], "runs": [p[1] for p in parts],
@@ -185,9 +188,8 @@ def analysed_pages(pages: DataFrame) -> DataFrame:
     return one.select("page_id", "p.content_html", "p.source_url").mapInPandas(parse, SCHEMA)
 
 
-def main_runs(pages: DataFrame) -> DataFrame:
-    """(page_id, run_no, text) of the runs of main text, in any order."""
-    parsed = cut(analysed_pages(pages))
+def _main(parsed: DataFrame) -> DataFrame:
+    """(page_id, run_no) of the runs of main text of ``analysed_pages``."""
     boxes = parsed.select("page_id", "host", F.explode("containers").alias("c")).select("page_id", "host", "c.*")
     votes = boxes.groupBy("host", "path").agg((F.avg(F.col("best").cast("double"))).alias("share"))
     # One host may hold any share of the pages; its paths are few rows.
@@ -197,26 +199,34 @@ def main_runs(pages: DataFrame) -> DataFrame:
         F.max(F.when(main, F.struct("share", "score", "cid")))["cid"].alias("chosen"),
         F.collect_list(F.when(~main, F.col("cid"))).alias("losers"),
     )
-    runs = parsed.select("page_id", F.explode("runs").alias("r")).select("page_id", "r.*")
-    placed = runs.join(choice, "page_id", "left")
+    # Pages meet their choice whole, so what is shuffled are their runs' hashes in one row.
+    runs = parsed.select("page_id", "runs").join(choice, "page_id", "left").select("page_id", "chosen", "losers", F.explode("runs").alias("r")).select("page_id", "chosen", "losers", "r.*")
     at = F.array_position("within", F.col("chosen"))
     nested = F.slice("within", (at + 1).cast("int"), F.size("within"))
     inside = F.coalesce((at > 0) & ~F.arrays_overlap(nested, F.col("losers")), F.lit(False))
-    placed = cut(placed.select("page_id", "run_no", "heading", "entry", "run_hash", "block_hash", "text", inside.alias("inside"), F.size("within").alias("depth")))
+    placed = cut(runs.where(F.size("within") > 0).select("page_id", "run_no", "heading", *VOTED, inside.alias("inside")))
 
     def voted_out(hashed: str) -> DataFrame:
-        seen = placed.where("depth > 0 and not heading").groupBy(hashed, "page_id").agg(F.max((~F.col("inside")).cast("int")).alias("out"))
+        seen = placed.where(F.col(hashed).isNotNull() & ~F.col("heading")).groupBy(hashed, "page_id").agg(F.max((~F.col("inside")).cast("int")).alias("out"))
         counted = seen.groupBy(hashed).agg(F.sum("out").alias("n_out"), F.count("*").alias("n"))
-        return counted.where((F.col("n_out") >= OUT_PAGES) & (F.col("n_out") >= OUT_SHARE * F.col("n"))).select(hashed)
+        return counted.where((F.col("n_out") >= OUT_PAGES) & (F.col("n_out") >= OUT_SHARE * F.col("n"))).select(hashed, F.lit(True).alias(f"bad_{hashed}"))
+
+    kept = placed.where("inside")
+    for hashed in VOTED:
+        kept = kept.join(voted_out(hashed), hashed, "left")
+    bad = " or ".join(f"bad_{hashed} is not null" for hashed in VOTED)
+    return kept.where(f"heading or not ({bad})").select("page_id", "run_no")
 
-    kept = placed.where("inside and not entry")
-    out_runs = voted_out("run_hash").withColumn("bad_run", F.lit(True))
-    out_blocks = voted_out("block_hash").withColumn("bad_block", F.lit(True))
-    kept = kept.join(out_runs, "run_hash", "left").join(out_blocks, "block_hash", "left")
-    return kept.where("heading or (bad_run is null and bad_block is null)").select("page_id", "run_no", "text")
+
+def main_runs(pages: DataFrame) -> DataFrame:
+    """(page_id, run_no) of the runs of main text, in any order."""
+    return _main(cut(analysed_pages(pages, texts=False)))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """(page_id, text): the main runs of each page in order, one per line."""
-    runs = main_runs(pages).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("run_no", "text"))).alias("r"))
-    return runs.select("page_id", F.array_join(F.transform("r", lambda x: F.trim(x["text"])), "\n").alias("text"))
+    parsed = cut(analysed_pages(pages))
+    kept = _main(parsed).groupBy("page_id").agg(F.array_sort(F.collect_list("run_no")).alias("kept"))
+    runs = parsed.select("page_id", "runs").join(kept, "page_id")
+    # Runs count from 0 without gaps.
+    return runs.select("page_id", F.array_join(F.transform("kept", lambda i: F.trim(F.get("runs", i)["text"])), "\n").alias("text"))
