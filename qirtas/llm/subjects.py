@@ -94,17 +94,26 @@ def statements(text: str) -> list[list[str]]:
     return out
 
 
-def phrases(words: list[str], telling) -> list[tuple[str, ...]]:
-    """Every ``MAX_PHRASE`` telling words that follow on one another, or fewer where a run is shorter, as sorted sets."""
+def runs(words: list[str], telling) -> tuple[tuple[str, ...], ...]:
+    """The telling words of a statement that follow on one another."""
     out, run = [], []
-    for w in [*words, ""]:
+    for w in words:
         if w in telling:
             run.append(w)
         elif run:
-            for i in range(max(1, len(run) - MAX_PHRASE + 1)):
-                out.append(tuple(sorted(set(run[i : i + MAX_PHRASE]))))
+            out.append(tuple(run))
             run = []
-    return out
+    if run:
+        out.append(tuple(run))
+    return tuple(out)
+
+
+def phrases(found: tuple[tuple[str, ...], ...]) -> list[tuple[str, ...]]:
+    """Every ``MAX_PHRASE`` words of each of the ``runs`` that follow on one another, or fewer where it is shorter, as sorted sets."""
+    return [
+        tuple(sorted(set(run[i : i + MAX_PHRASE])))
+        for run in found for i in range(max(1, len(run) - MAX_PHRASE + 1))
+    ]
 
 
 class RuleSet:
@@ -125,34 +134,32 @@ class RuleSet:
                     return a, subject, max(math.log(confidence / (1 - confidence)) + 1.0, 0.05)
         return None
 
-    def contained(self, words: list[str]) -> set[tuple[str, ...]]:
+    def _kept(self, name: str, key, make: Callable):
+        """``make()``, remembered under ``key``; statements differ far more than their telling words do."""
+        memo = self.__dict__.setdefault("_memo", {}).setdefault(name, {})
+        found = memo.get(key)
+        if found is None:
+            if len(memo) > 200_000:
+                memo.clear()
+            found = memo[key] = make()
+        return found
+
+    def contained(self, words: list[str]) -> frozenset[tuple[str, ...]]:
         """The word sets of all rules in a statement's phrases, also of those that a larger one overrules."""
-        memo = self.__dict__.setdefault("_within", {})
-        out: set = set()
-        for p in phrases(words, self.telling):
-            if p not in memo:
-                if len(memo) > 200_000:
-                    memo.clear()
-                memo[p] = [a for size in self.sizes if size <= len(p) for a in combinations(p, size) if a in self.rules]
-            out.update(memo[p])
-        return out
+        key = runs(words, self.telling)
+        return self._kept("within", key, lambda: frozenset(
+            a for p in phrases(key) for size in self.sizes if size <= len(p) for a in combinations(p, size) if a in self.rules
+        ))
 
     def hits(self, words: list[str]) -> dict[tuple[str, ...], tuple[str, float]]:
         """Word set -> (subject, log odds) of the rules that a statement's phrases match, each once."""
-        memo = self.__dict__.setdefault("_memo", {})
-        out = {}
-        for p in phrases(words, self.telling):
-            if p not in memo:
-                if len(memo) > 200_000:
-                    memo.clear()
-                memo[p] = self.match(p)
-            if hit := memo[p]:
-                out[hit[0]] = hit[1:]
-        return out
+        key = runs(words, self.telling)
+        return self._kept("hits", key, lambda: {hit[0]: hit[1:] for p in phrases(key) if (hit := self.match(p))})
 
     def statement(self, words: list[str]) -> dict[str, float]:
         """Subject -> evidence in log odds, less what other subjects have, where positive."""
-        return weighed(self.hits(words))
+        key = runs(words, self.telling)
+        return self._kept("weighed", key, lambda: weighed(self.hits(words)))
 
     def strongest(self, parts: list[list[str]]) -> dict[str, float]:
         """Subject -> the evidence of the strongest of the statements for it."""
@@ -168,7 +175,7 @@ class RuleSet:
         return [(s, e) for s, e in self.strongest(parts).items() if e >= self.thresholds.get(s, 0.0)]
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("_memo", "_within")}
+        return {k: v for k, v in self.__dict__.items() if k != "_memo"}
 
 
 def weighed(hits: dict[tuple[str, ...], tuple[str, float]]) -> dict[str, float]:
@@ -238,48 +245,51 @@ def own_statements(rules: Broadcast, unknown: bool):
     return read
 
 
-def _counted(source: DataFrame, keys: Callable, schema: str) -> DataFrame:
-    """``keys(batches)`` of each task with how often it gave them, handed on before they become too many."""
-    types = pa.schema([("w", pa.list_(pa.string())), ("s", pa.string()), ("n", pa.int64())])
+def _counted(source: DataFrame, keys: Callable) -> DataFrame:
+    """(w, n): what ``keys(batches)`` of each task gives with how often it did, handed on before it becomes too much."""
+    types = pa.schema([("w", pa.list_(pa.string())), ("n", pa.int64())])
 
     def count(batches):
         held: Counter = Counter()
-
-        def batch():
-            return pa.RecordBatch.from_pydict({"w": [k[0] for k in held], "s": [k[1] for k in held], "n": list(held.values())}, types)
-
         for key in keys(batches):
             held[key] += 1
             if len(held) > HELD:
-                yield batch()
+                yield pa.RecordBatch.from_pydict({"w": list(held), "n": list(held.values())}, types)
                 held.clear()
-        yield batch()
+        yield pa.RecordBatch.from_pydict({"w": list(held), "n": list(held.values())}, types)
 
-    return source.mapInArrow(count, schema)
+    return source.mapInArrow(count, "w array<string>, n long")
 
 
-def mine(source: DataFrame, read: Callable) -> tuple[RuleSet, dict[str, float]]:
-    """Class-association rules of the cases ([statements], subjects) that ``read`` gives of batches of ``source``, and the subjects' shares.
+def telling_words(source: DataFrame, read: Callable) -> tuple[set[str], dict[str, float]]:
+    """The words that tell a subject in the cases ([statements], subjects) that ``read`` gives, and the subjects' shares.
 
-    Every case counts, a word or phrase once in it. What the driver gets are the telling words, and the
-    sets and rules of them.
+    Every case counts, a word once in it.
     """
-    def words_and_subjects(batches):
+    types = pa.schema([("w", pa.string()), ("s", pa.string()), ("n", pa.int64())])
+
+    def count(batches):
+        # Subject or None for all cases -> word -> number; "" counts the cases.
+        held: dict[str | None, Counter] = {None: Counter()}
+
+        def batch():
+            rows = [(w or None, s, n) for s, c in held.items() for w, n in c.items()]
+            return pa.RecordBatch.from_pydict({"w": [r[0] for r in rows], "s": [r[1] for r in rows], "n": [r[2] for r in rows]}, types)
+
         for parts, subjects in read(batches):
-            yield None, None
-            for s in subjects:
-                yield None, s
-            for w in {w for words in parts for w in words}:
-                yield (w,), None
-                for s in subjects:
-                    yield (w,), s
-
-    counted = _counted(source, words_and_subjects, "w array<string>, s string, n long")
-    counted = cut(counted.groupBy(F.col("w")[0].alias("w"), "s").agg(F.sum("n").alias("n")))
+            words = {w for words in parts for w in words} | {""}
+            for s in (None, *subjects):
+                held.setdefault(s, Counter()).update(words)
+            if len(held[None]) > HELD:
+                yield batch()
+                held = {None: Counter()}
+        yield batch()
+
+    counted = cut(source.mapInArrow(count, "w string, s string, n long").groupBy("w", "s").agg(F.sum("n").alias("n")))
     whole = {r["s"]: r["n"] for r in counted.where("w is null").collect()}
     total = whole.pop(None, 0)
-    if not total:
-        return RuleSet({}), {}
+    if not total or not whole:
+        return set(), {}
     prior = {s: n / total for s, n in whole.items()}
     share = source.sparkSession.createDataFrame([(s, p) for s, p in prior.items()], "s string, p double")
     count = counted.where(F.col("w").isNotNull() & F.col("s").isNull() & (F.col("n") >= MIN_SUPPORT)).select("w", "n")
@@ -287,21 +297,28 @@ def mine(source: DataFrame, read: Callable) -> tuple[RuleSet, dict[str, float]]:
     n, k, p = F.col("n"), F.col("k"), F.col("p")
     z = (k - n * p) / F.sqrt(F.greatest(n * p * (1 - p), F.lit(1e-9)))
     clear = (z >= F.least(F.lit(MIN_Z), F.sqrt(n))) & (k / n >= F.least(1.5 * p, F.lit(0.95))) & (k / n >= 0.15)
-    telling = {r["w"] for r in pair.join(count, "w").join(F.broadcast(share), "s").where(clear).select("w").distinct().collect()}
+    return {r["w"] for r in pair.join(count, "w").join(F.broadcast(share), "s").where(clear).select("w").distinct().collect()}, prior
+
+
+def mine(source: DataFrame, read: Callable, telling: set[str], prior: dict[str, float]) -> RuleSet:
+    """Class-association rules of the cases ([statements], subjects) that ``read`` gives of batches of ``source``.
+
+    Every case counts, a phrase once in it. What the driver gets are the sets and rules of the telling words.
+    """
     known = source.sparkSession.sparkContext.broadcast(telling)
 
     def baskets(batches):
         telling = known.value
         for parts, subjects in read(batches):
             marks = tuple("=" + s for s in subjects)
-            for q in {q for words in parts for q in phrases(words, telling)}:
-                yield q + marks, None
+            for q in {q for words in parts for q in phrases(runs(words, telling))}:
+                yield q + marks
 
     # Equal baskets of a task are kept once, with their number.
-    packed = cut(_counted(source, baskets, "w array<string>, s string, n long").select("w", "n"))
+    packed = cut(_counted(source, baskets))
     size = packed.agg(F.sum("n")).first()[0]
     if not size:
-        return RuleSet({}), prior
+        return RuleSet({})
     items = packed.select(F.col("w").alias("items"), F.explode(F.sequence(F.lit(1), "n"))).select("items").persist(StorageLevel.MEMORY_ONLY)
     # Half a phrase less, as the product with the size is rounded up again.
     found = FPGrowth(itemsCol="items", minSupport=(MIN_SUPPORT - 0.5) / size, minConfidence=1.0).fit(items).freqItemsets
@@ -311,7 +328,7 @@ def mine(source: DataFrame, read: Callable) -> tuple[RuleSet, dict[str, float]]:
     items.unpersist()
     alone = split.where("size(s) = 0").select("words", F.col("freq").alias("n"))
     joint = split.where("size(s) = 1").select("words", F.col("s")[0].alias("s"), F.col("freq").alias("k"))
-    return RuleSet(prune(best_subjects(joint.join(alone, "words").toPandas(), prior), prior)), prior
+    return RuleSet(prune(best_subjects(joint.join(alone, "words").toPandas(), prior), prior))
 
 
 def fit_rules(packed: DataFrame, fit: DataFrame) -> RuleSet:
@@ -323,13 +340,15 @@ def fit_rules(packed: DataFrame, fit: DataFrame) -> RuleSet:
     without a subject, which ends words that merely occur in formulas. What the
     rules have marked themselves only proposes: every round ends with ``borne_out``.
     """
-    rules, _ = mine(fit.select("text", "subjects"), labelled_documents)
-    for unknown in (False, True):
-        shared = packed.sparkSession.sparkContext.broadcast(rules)
-        again, prior = mine(packed, own_statements(shared, unknown))
-        if again.rules:
-            rules = borne_out(again, packed, fit, prior)
-    return rules
+    cases = fit.select("text", "subjects")
+    rules = mine(cases, labelled_documents, *telling_words(cases, labelled_documents))
+    own = own_statements(packed.sparkSession.sparkContext.broadcast(rules), False)
+    found = telling_words(packed, own)
+    if not found[0]:
+        return rules
+    rules = borne_out(mine(packed, own, *found), None, fit, found[1])
+    own = own_statements(packed.sparkSession.sparkContext.broadcast(rules), True)
+    return borne_out(mine(packed, own, *found), packed, fit, found[1])
 
 
 def standing(parts: list[list[str]], rules: RuleSet) -> dict[tuple[str, ...], bool]:
@@ -358,13 +377,14 @@ def standing(parts: list[list[str]], rules: RuleSet) -> dict[tuple[str, ...], bo
     return out
 
 
-def borne_out(rules: RuleSet, packed: DataFrame, fit: DataFrame, prior: dict[str, float]) -> RuleSet:
+def borne_out(rules: RuleSet, packed: DataFrame | None, fit: DataFrame, prior: dict[str, float]) -> RuleSet:
     """The rules with their confidence measured on what they have not marked themselves.
 
     Of n labelled documents that a rule's words stand in, k have its subject;
     ``OWN_WEIGHT`` documents more count with the confidence that it had. If of the
     documents whose rest has subjects less than ``MIN_CONFIDENCE`` have the rule's
-    there, that share counts where lower: a formula stands in documents of all subjects.
+    there, that share counts where lower: a formula stands in documents of all
+    subjects. Without ``packed`` only the labels are asked.
     """
     names = list(rules.rules)
     shared = fit.sparkSession.sparkContext.broadcast((rules, {a: i for i, a in enumerate(names)}))
@@ -389,7 +409,8 @@ def borne_out(rules: RuleSet, packed: DataFrame, fit: DataFrame, prior: dict[str
         total = counted.groupBy("rule").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("hit"), F.col("n")).otherwise(0)).alias("k")).toPandas()
         return {int(i): (int(n), int(k)) for i, n, k in total[["rule", "n", "k"]].itertuples(index=False)}
 
-    everywhere, by_hand = measured(packed.mapInArrow(rest, schema)), measured(fit.select("text", "subjects").mapInPandas(labelled, schema))
+    everywhere = measured(packed.mapInArrow(rest, schema)) if packed is not None else {}
+    by_hand = measured(fit.select("text", "subjects").mapInPandas(labelled, schema))
     out = {}
     for i, (a, (subject, confidence)) in enumerate(rules.rules.items()):
         n, k = by_hand.get(i, (0, 0))
