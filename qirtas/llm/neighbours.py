@@ -26,10 +26,11 @@ from qirtas.session import cut
 
 #: Rows of each collection that the centroids are fitted on, at most.
 FIT_ROWS = 20_000
-#: Mean number of vectors in a cell, and the most centroids of one half.
-CELL_ROWS, MAX_CENTROIDS = 8, 1024
-#: A vector's walk ends when the cells it met hold so many vectors.
-CANDIDATES = 800
+#: Mean number of vectors in a cell, and the most centroids of one half (the cells' counts are broadcast, 64 MB then).
+CELL_ROWS, MAX_CENTROIDS = 8, 4096
+#: A vector's walk ends when the cells it met hold so many vectors; beyond ``GROWS_FROM`` vectors the number grows
+#: with the fourth root of their number.
+CANDIDATES, GROWS_FROM = 800, 1e6
 #: Indexed vectors in one task, at most.
 BLOCK = 32_000
 #: Rows of one key up to which repeats are dropped in the task they meet in.
@@ -41,7 +42,9 @@ class Codebook(NamedTuple):
     first: np.ndarray
     second: np.ndarray
     counts: np.ndarray
+    group_of: np.ndarray
     block_of: np.ndarray
+    enough: int
     chunks: np.ndarray
     task_base: np.ndarray
 
@@ -141,10 +144,12 @@ class MultiIndex:
     Only embeddings of ``dims`` finite numbers, not all zero, count; rows with a
     null key or collection are left out. Repeated rows of a key agree; should
     they not, each of their vectors is searched for the key. Collections and keys are
-    followed through the search by a 64-bit hash.
+    followed through the search by a 64-bit hash. ``candidates`` is the trade of
+    accuracy for time; ``exact`` searches without the index.
     """
 
-    def __init__(self, vectors: DataFrame, dims: int = 64):
+    def __init__(self, vectors: DataFrame, dims: int = 64, candidates: int = CANDIDATES):
+        self.candidates = candidates
         self.spark, self.dims, self.half = vectors.sparkSession, dims, dims // 2
         self.source = vectors.select("collection", F.xxhash64("collection", "key").alias("id"), "key", "embedding").where(
             "key is not null and collection is not null and embedding is not null"
@@ -197,23 +202,34 @@ class MultiIndex:
                 yield pa.RecordBatch.from_arrays([b.column("collection"), pa.array(out), b.column("copy")], ["collection", "cell", "copy"])
 
         placed = quantised.withColumn("copy", F.xxhash64("v")).mapInArrow(cells, "collection string, cell int, copy long")
-        placed = cut(placed)
-        # At most MAX_CENTROIDS ** 2 rows of each collection.
-        counted = placed.groupBy("collection", "cell").count().toPandas()
-        self.copies = placed.groupBy("collection", "copy").count()
+        self.copies = cut(placed.groupBy("collection", "cell", "copy").count())
+        # At most MAX_CENTROIDS ** 2 rows of each collection; copies beyond REPEATS are not indexed and don't count.
+        held = F.sum(F.least("count", F.lit(REPEATS))).alias("count")
+        counted = self.copies.groupBy("collection", "cell").agg(held).toPandas()
         self.books, task = {}, 0
         for name, (one, two) in books.items():
             mine = counted[counted["collection"] == name]
-            counts = np.zeros(len(one) * len(two), np.int64)
+            counts = np.zeros(len(one) * len(two), np.int32)
             counts[mine["cell"]] = mine["count"]
-            weight = counts.reshape(len(one), len(two)).sum(axis=1)
-            blocks = max(1, math.ceil(counts.sum() / BLOCK))
-            of = balanced_blocks(one, weight.astype(float), blocks)
-            held = np.bincount(of, weights=weight)
+            square = counts.reshape(len(one), len(two))
+            # Near first centroids are a group; a group with too many vectors is divided by near second ones.
+            groups = max(1, math.ceil(counts.sum() / BLOCK))
+            group_of = balanced_blocks(one, square.sum(axis=1).astype(float), groups)
+            block_of, blocks = np.zeros((group_of.max() + 1, len(two)), np.int32), 0
+            for g in range(len(block_of)):
+                weight = square[group_of == g].sum(axis=0).astype(float)
+                parts = math.ceil(weight.sum() / BLOCK) if weight.sum() > 1.5 * BLOCK else 1
+                block_of[g] = blocks + (balanced_blocks(two, weight, parts) if parts > 1 else 0)
+                blocks = int(block_of[g].max()) + 1
+            held = np.zeros(blocks, np.int64)
+            for c, g in enumerate(group_of):
+                np.add.at(held, block_of[g], square[c])
+            # Only one cell that is too full alone is left to be cut into chunks.
             chunks = np.maximum(1, np.ceil(held / (1.5 * BLOCK))).astype(np.int64)
             base = task + np.concatenate([[0], np.cumsum(chunks**2)[:-1]])
             task = int(base[-1] + chunks[-1] ** 2)
-            self.books[name] = Codebook(one, two, counts, of, chunks, base)
+            enough = round(self.candidates * max(1.0, counts.sum() / GROWS_FROM) ** 0.25)
+            self.books[name] = Codebook(one, two, counts, group_of, block_of, enough, chunks, base)
         self.tasks = task
 
     def search(self, k: int = 5) -> DataFrame:
@@ -278,9 +294,9 @@ class MultiIndex:
                     own = d1.argmin(axis=1) * width + d2.argmin(axis=1)
                     for i, row in enumerate(m):
                         by_block: dict[int, list[int]] = {}
-                        for cell in walk(d1[i], d2[i], book.counts, CANDIDATES):
-                            by_block.setdefault(int(book.block_of[cell // width]), []).append(cell)
-                        mine = int(book.block_of[own[i] // width])
+                        for cell in walk(d1[i], d2[i], book.counts, book.enough):
+                            by_block.setdefault(int(book.block_of[book.group_of[cell // width], cell % width]), []).append(cell)
+                        mine = int(book.block_of[book.group_of[own[i] // width], own[i] % width])
                         by_block.setdefault(mine, [])
                         for block, cells in by_block.items():
                             n, base = int(book.chunks[block]), int(book.task_base[block])
@@ -347,11 +363,45 @@ class MultiIndex:
             })
 
         routed = vectors.mapInArrow(route, "task int, home int, role byte, id long, v binary, probes binary")
-        found = routed.repartition(max(1, self.tasks), "task").groupBy("task").applyInArrow(rerank, "id long, d array<float>, other array<long>")
+        # Every task has a partition of its own.
+        found = routed.repartitionById(max(1, self.tasks), F.col("task")).groupBy("task").applyInArrow(rerank, "id long, d array<float>, other array<long>")
         # A vector has at most one row of k of each block it was sent to.
         best = found.groupBy("id").agg(F.array_sort(F.flatten(F.collect_list(F.arrays_zip("d", "other")))).alias("near"))
         return best.select("id", F.explode(F.slice("near", 1, k)).alias("n")).select("id", F.col("n.other").alias("other"), (-F.col("n.d")).alias("cosine"))
 
+    def exact(self, queries: DataFrame, k: int = 5) -> DataFrame:
+        """(id, other, cosine): the k nearest of all vectors, without the index, for the (collection, id) of ``queries``.
+
+        Blocks of queries meet blocks of vectors, each pair of blocks in a task of
+        its own, so nothing grows but the number of tasks.
+        """
+        dims = self.dims
+        vectors = cut(self._quantised().dropDuplicates(["collection", "id"]))
+        asked = vectors.join(queries.select("collection", "id").distinct(), ["collection", "id"], "left_semi")
+        n, m = max(1, math.ceil(vectors.count() / BLOCK)), max(1, math.ceil(asked.count() / BLOCK))
+        chunk, salt = F.pmod("id", F.lit(n)).cast("int"), F.pmod(F.xxhash64("id", F.lit(7)), F.lit(m)).cast("int")
+        rows = vectors.select("collection", "id", "v", chunk.alias("chunk"), F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("salt"), F.lit(False).alias("asks"))
+        asks = asked.select("collection", "id", "v", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("chunk"), salt.alias("salt"), F.lit(True).alias("asks"))
+
+        def meet(group: pa.Table) -> pa.Table:
+            x, ids = _decode(group.column("v"), dims), group.column("id").to_numpy()
+            q = np.flatnonzero(group.column("asks").to_numpy(zero_copy_only=False))
+            r = np.setdiff1d(np.arange(len(x)), q)
+            out = []
+            for lo in range(0, len(q) if len(r) else 0, 512):
+                part = q[lo : lo + 512]
+                scores = np.where(ids[part][:, None] == ids[r][None, :], -9, x[part] @ x[r].T)
+                best = np.argpartition(-scores, min(k, len(r)) - 1, axis=1)[:, :k]
+                got = np.take_along_axis(scores, best, axis=1)
+                row, col = np.nonzero(got > -9)
+                out.append((ids[part][row], ids[r][best[row, col]], got[row, col].astype(np.float32)))
+            cat = [np.concatenate(c) for c in zip(*out)] or [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)]
+            return pa.table(dict(zip(("id", "other", "cosine"), cat)))
+
+        met = rows.unionByName(asks).groupBy("collection", "chunk", "salt").applyInArrow(meet, "id long, other long, cosine float")
+        best = Window.partitionBy("id").orderBy(F.desc("cosine"), "other")
+        return met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).drop("rank")
+
     def pairs(self, k: int = 5) -> DataFrame:
         """(collection, key_a, key_b): pairs of which one is among the k nearest of the other."""
         def ends(found: DataFrame) -> DataFrame:
