@@ -4,6 +4,9 @@ A lexicon is induced from all documents by the log-likelihood ratio of words
 occurring in the same section. Sentence pairs and merged spans of adjacent
 sentences are scored by how much of each side's information the other covers; a
 maximum-weight assignment (Hungarian method) with null costs picks the pairs.
+Spans take part in it: a sentence that two neighbours of the other side share has
+a second place for the second of them, and a span of which the optimum takes only
+one half is withdrawn before the assignment is solved again.
 """
 
 from __future__ import annotations
@@ -22,8 +25,8 @@ from qirtas.session import cut
 MIN_TOGETHER, MIN_RATIO = 3, 10.8
 #: Translations kept of each word, the most associated ones.
 TRANSLATIONS = 8
-#: A lexicon of at most so many rows is sent to every task, a larger one is joined.
-BROADCAST_ROWS = 500_000
+#: Documents that are aligned together and share the part of the lexicon that their words need.
+GROUP_DOCS = 1_000
 #: What leaving a sentence unpaired costs: only pairs that score more are made.
 NULL_COST = 0.45
 #: One side of a pair must be covered by the other at least so far.
@@ -31,8 +34,8 @@ FULL_COVER = 0.68
 #: Two adjacent sentences are one span for a sentence of the other side if each is
 #: covered by it so far, and together cover so much more of it than either.
 SPAN_COVER, SPAN_GAIN = 0.62, 0.15
-#: Larger groups of competing sentences are paired greedily.
-HUNGARIAN_SIZE = 300
+#: What a span's pair is worth beside a rival pair of one of its sentences.
+SPAN_BONUS = 0.15
 _BLOCK = 400
 
 _END = re.compile(r"(?<=[.!?؟])\s+")
@@ -243,114 +246,128 @@ def align(ar: list[str], en: list[str], lexicon) -> list[tuple[int, int, float]]
     score = (ca + ce) / 2
     n, m = score.shape
 
-    # Spans: two adjacent sentences that one sentence of the other side puts together.
-    merges = []
+    # Spans (side, i, j): the sentences i, i + 1 of a side that sentence j of the other puts together.
+    spans = []
     if n > 1:
         both = _cover(e1, two.weight, turned, one.spans(True)).T
         gain = both - np.maximum(ce[:-1], ce[1:])
-        for i, j in zip(*np.nonzero((gain >= SPAN_GAIN) & (ca[:-1] >= SPAN_COVER) & (ca[1:] >= SPAN_COVER))):
-            merges.append((gain[i, j] + both[i, j] + min(ca[i, j], ca[i + 1, j]), 0, int(i), int(j)))
+        spans += [(0, int(i), int(j)) for i, j in zip(*np.nonzero((gain >= SPAN_GAIN) & (ca[:-1] >= SPAN_COVER) & (ca[1:] >= SPAN_COVER)))]
     if m > 1:
         both = _cover(a1, one.weight, strength, two.spans(True))
         gain = both - np.maximum(ca[:, :-1], ca[:, 1:])
-        for i, j in zip(*np.nonzero((gain >= SPAN_GAIN) & (ce[:, :-1] >= SPAN_COVER) & (ce[:, 1:] >= SPAN_COVER))):
-            merges.append((gain[i, j] + both[i, j] + min(ce[i, j], ce[i, j + 1]), 1, int(i), int(j)))
+        spans += [(1, int(j), int(i)) for i, j in zip(*np.nonzero((gain >= SPAN_GAIN) & (ce[:, :-1] >= SPAN_COVER) & (ce[:, 1:] >= SPAN_COVER)))]
     near = 1e-3 * (1 - np.abs(np.arange(n)[:, None] / max(1, n) - np.arange(m)[None, :] / max(1, m)))
     value = np.where(np.maximum(ca, ce) >= FULL_COVER, score + near - NULL_COST, -1.0)
-    nodes_a, nodes_e = [(i,) for i in range(n)], [(j,) for j in range(m)]
-    taken_a, taken_e, spanned = set(), set(), {}
-    for _, side, i, j in sorted(merges, reverse=True):
-        rows, cols = ((i, i + 1), (j,)) if side == 0 else ((i,), (j, j + 1))
-        if taken_a & set(rows) or taken_e & set(cols):
-            continue
-        # A span must not break up a pair of sentences that is better on its own.
-        rival = max(value[list(rows)][:, [c for c in range(m) if c not in cols]].max(initial=-1), value[[r for r in range(n) if r not in rows]][:, list(cols)].max(initial=-1))
-        whole = (np.min([ca[r, c] for r in rows for c in cols]) + 1) / 2 - NULL_COST
-        if rival > whole + 0.15:
-            continue
-        taken_a |= set(rows)
-        taken_e |= set(cols)
-        spanned[rows, cols] = whole
-    out = []
-    for rows, cols in spanned:
-        out += [(r, c, float(score[r, c])) for r in rows for c in cols]
-    free_a = [i for (i,) in nodes_a if i not in taken_a]
-    free_e = [j for (j,) in nodes_e if j not in taken_e]
-    if free_a and free_e:
-        part = value[np.ix_(free_a, free_e)]
-        rows, cols = np.nonzero(part > 0)
-        for group in _components(rows, cols):
-            r, c = np.unique(rows[group]), np.unique(cols[group])
-            if len(r) == 1 or len(c) == 1 or max(len(r), len(c)) > HUNGARIAN_SIZE:
-                used_r, used_c = set(), set()
-                for k in sorted(group, key=lambda k: (-part[rows[k], cols[k]], rows[k], cols[k])):
-                    if rows[k] not in used_r and cols[k] not in used_c:
-                        used_r.add(rows[k])
-                        used_c.add(cols[k])
-                        out.append((free_a[rows[k]], free_e[cols[k]], float(part[rows[k], cols[k]] + NULL_COST)))
-            else:
-                local = part[np.ix_(r, c)]
-                out += [(free_a[r[x]], free_e[c[y]], float(local[x, y] + NULL_COST)) for x, y in hungarian(local)]
+    pairs = assign(value, spans, ca, ce)
+    return [(i, j, float(score[i, j])) for i, j in sorted(pairs)]
+
+
+def _span_cells(span: tuple[int, int, int]) -> list[tuple[int, int]]:
+    side, first, other = span
+    return [(k, other) if side == 0 else (other, k) for k in (first, first + 1)]
+
+
+def assign(value: np.ndarray, spans: list[tuple[int, int, int]], ca: np.ndarray, ce: np.ndarray) -> set[tuple[int, int]]:
+    """The pairs (row, column) of greatest total value, with ``spans`` as candidates.
+
+    A span adds a second place beside its shared sentence, open to its two
+    neighbours. A span is only worth anything whole: while the optimum has just
+    one of its pairs, the span that is furthest from whole is withdrawn and its group solved again.
+    """
+    out: set[tuple[int, int]] = set()
+    worth: dict[tuple[int, int, int], float] = {}
+    by_row: dict[int, list[tuple[int, int, int]]] = {}
+    for span in spans:
+        cells = _span_cells(span)
+        by_row.setdefault(cells[0][0], []).append(span)
+        covered = [(ca if span[0] == 0 else ce)[c] for c in cells]
+        worth[span] = (min(covered) + 1) / 2 - NULL_COST + SPAN_BONUS
+    rows, cols = np.nonzero(value > 0)
+    extra = [c for span in spans for c in _span_cells(span)]
+    rows = np.concatenate([rows, [r for r, _ in extra]]).astype(np.int64)
+    cols = np.concatenate([cols, [c for _, c in extra]]).astype(np.int64)
+    for group in _components(rows, cols):
+        r, c = np.unique(rows[group]), np.unique(cols[group])
+        # Every span lies in one group, whole.
+        mine = [s for x in r.tolist() for s in by_row.get(x, ())]
+        while True:
+            got = _solve(value, r, c, mine, worth)
+            broken = [s for s in mine if sum(x in got for x in _span_cells(s)) < 2]
+            if not broken:
+                break
+            # Of spans without any pair all go, else the least worthy half one.
+            none = [s for s in broken if not any(x in got for x in _span_cells(s))]
+            gone = set(none) or {min(broken, key=lambda s: (worth[s], s))}
+            mine = [s for s in mine if s not in gone]
+        out |= got
     return out
 
 
+def _solve(value: np.ndarray, r: np.ndarray, c: np.ndarray, spans: list[tuple[int, int, int]], worth: dict) -> set[tuple[int, int]]:
+    """The assignment of one group; each span has a row or column of its own beside those of ``r`` and ``c``."""
+    at_r, at_c = {int(x): k for k, x in enumerate(r)}, {int(x): k for k, x in enumerate(c)}
+    more_c, more_r = [s for s in spans if s[0] == 0], [s for s in spans if s[0] == 1]
+    names_r, names_c = [*map(int, r), *(s[2] for s in more_r)], [*map(int, c), *(s[2] for s in more_c)]
+    w = np.full((len(names_r), len(names_c)), -1.0)
+    w[: len(r), : len(c)] = value[np.ix_(r, c)]
+    for s in spans:
+        for i, j in _span_cells(s):
+            w[at_r[i], at_c[j]] = max(w[at_r[i], at_c[j]], worth[s])
+    for k, s in enumerate(more_c):
+        for i, _ in _span_cells(s):
+            w[at_r[i], len(c) + k] = worth[s]
+    for k, s in enumerate(more_r):
+        for _, j in _span_cells(s):
+            w[len(r) + k, at_c[j]] = worth[s]
+    if 1 in w.shape:
+        i, j = np.unravel_index(w.argmax(), w.shape)
+        return {(names_r[i], names_c[j])} if w[i, j] > 0 else set()
+    return {(names_r[i], names_c[j]) for i, j in hungarian(w)}
+
+
 def _lexicon(rows: pd.DataFrame):
     table: dict[str, list[tuple[str, float]]] = {}
-    entries = rows[rows["a"].notna()]
+    entries, others = rows[rows["a"].notna()], rows[rows["a"].isna()]
     for a, e, w in zip(entries["a"], entries["e"], entries["weight"]):
         table.setdefault(a, []).append((e, w))
-    idf_a, idf_e = dict(zip(entries["a"], entries["idf_a"])), dict(zip(rows["e"], rows["idf_e"]))
-    return table, idf_a, idf_e, 1.0
+    return table, dict(zip(entries["a"], entries["idf_a"])), dict(zip(others["e"], others["idf_e"])), 1.0
 
 
 def aligned_sentences(legal: DataFrame) -> DataFrame:
     """(document_id, ar_pos, en_pos, score, ar_text, en_text) of all bilingual documents.
 
     Documents with a blank side, or without sentences on one, give no rows.
-    Several rows of an id count once, the greatest contents winning.
+    Several rows of an id count once, the greatest contents winning. Documents are
+    aligned in groups of about ``GROUP_DOCS``; a group is joined with the entries of its own
+    words, so the lexicon is nowhere whole. Documents without any entry still pair by numbers.
     """
     docs = cut(bilingual(legal))
     lexicon = cut(induce_lexicon(docs))
-    size = lexicon.count()
+    groups = max(docs.sparkSession.sparkContext.defaultParallelism, -(-docs.count() // GROUP_DOCS))
+    docs = docs.withColumn("group", F.pmod(F.xxhash64("document_id"), F.lit(groups)))
     schema = "document_id string, ar_pos int, en_pos int, score double, ar_text string, en_text string"
-
-    def rows_of(key, ar, en, lex):
-        a, e = [s for _, s in sentences(ar)], [s for _, s in sentences(en)]
-        return [(key, i, j, s, a[i], e[j]) for i, j, s in align(a, e, lex)]
-
     names = [c.split()[0] for c in schema.split(", ")]
-    if size <= BROADCAST_ROWS:
-        shared = docs.sparkSession.sparkContext.broadcast(_lexicon(lexicon.toPandas()))
-
-        def pair(batches):
-            for pdf in batches:
-                rows = [r for k, ar, en in zip(pdf["document_id"], pdf["ar"], pdf["en"]) for r in rows_of(k, ar, en, shared.value)]
-                yield pd.DataFrame(rows, columns=names)
-
-        return docs.mapInPandas(pair, schema)
 
     def vocabulary(batches):
         for pdf in batches:
-            rows = [(k, side, w) for k, *both in zip(pdf["document_id"], pdf["ar"], pdf["en"]) for side, text in zip("ae", both) for w in {w for _, s in sentences(text) for w in words(s)}]
-            yield pd.DataFrame(rows, columns=["document_id", "side", "w"])
-
-    # Entries of the document's Arabic words, and the weights of its English words, also of those without an entry there.
-    own = docs.mapInPandas(vocabulary, "document_id string, side string, w string")
-    nothing = F.lit(None).cast("string")
-    entries = own.where("side = 'a'").withColumnRenamed("w", "a").join(lexicon, "a")
+            found = set()
+            for g, *both in zip(pdf["group"], pdf["ar"], pdf["en"]):
+                found.update((g, side, w) for side, text in zip("ae", both) for _, s in sentences(text) for w in words(s))
+            yield pd.DataFrame(list(found), columns=["group", "side", "w"])
+
+    # Entries of the group's Arabic words, and the weights of its English words, also of those without an entry there.
+    own = docs.select("group", "ar", "en").mapInPandas(vocabulary, "group long, side string, w string").distinct()
+    entries = own.where("side = 'a'").select("group", F.col("w").alias("a")).join(lexicon, "a").select("group", "a", "e", "weight", "idf_a", F.lit(0.0).alias("idf_e"))
     idf_e = lexicon.groupBy("e").agg(F.first("idf_e").alias("idf_e"))
-    other = own.where("side = 'e'").withColumnRenamed("w", "e").join(idf_e, "e")
-    fields = ["document_id", "a", "e", "weight", "idf_a", "idf_e"]
-    other = other.withColumns({"a": nothing, "weight": F.lit(None).cast("double"), "idf_a": F.lit(None).cast("double")})
-    own = entries.select(fields).unionByName(other.select(fields)).groupBy("document_id").agg(F.collect_list(F.struct(*fields[1:])).alias("lex"))
+    english = own.where("side = 'e'").select("group", F.col("w").alias("e")).join(idf_e, "e").select(
+        "group", F.lit(None).cast("string").alias("a"), "e", F.lit(0.0).alias("weight"), F.lit(0.0).alias("idf_a"), "idf_e"
+    )
 
-    def pair_own(batches):
-        for pdf in batches:
-            rows = []
-            for k, ar, en, lex in zip(pdf["document_id"], pdf["ar"], pdf["en"], pdf["lex"]):
-                lex = [] if lex is None else lex
-                entries = pd.DataFrame([tuple(x) if not isinstance(x, dict) else tuple(x.values()) for x in lex], columns=["a", "e", "weight", "idf_a", "idf_e"])
-                rows += rows_of(k, ar, en, _lexicon(entries))
-            yield pd.DataFrame(rows, columns=names)
-
-    return docs.join(own, "document_id", "left").mapInPandas(pair_own, schema)
+    def pair(group: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
+        known, rows = _lexicon(entries), []
+        for k, ar, en in zip(group["document_id"], group["ar"], group["en"]):
+            a, e = [s for _, s in sentences(ar)], [s for _, s in sentences(en)]
+            rows += [(k, i, j, s, a[i], e[j]) for i, j, s in align(a, e, known)]
+        return pd.DataFrame(rows, columns=names)
+
+    return docs.groupBy("group").cogroup(entries.unionByName(english).groupBy("group")).applyInPandas(pair, schema)

@@ -102,8 +102,10 @@ def test_mixture(spark):
         assert abs(used - plan.loc[s, "quota_tokens"]) <= max(len(t or "") for _, t, _ in docs)
         assert max(r.repeat for r in rows if r.source == s) < plan.loc[s, "max_repeats"]
     assert len({(r.doc_id, r.repeat) for r in rows}) == len(rows)
-    assert {r.source: r.short for r in mixture.report().collect()} == {s: bool(plan.loc[s, "short"]) for s in plan.index}
-    assert [r.source for r in mixing.short_sources(df, targets).collect()] == [s for s in plan.index if plan.loc[s, "short"]]
+    short = {s for s in plan.index if plan.loc[s, "target_tokens"] > plan.loc[s, "supply_tokens"]}
+    assert {r.source for r in mixture.report().collect() if r.short} == short and short == {"small"}
+    assert {r.source for r in mixing.short_sources(df, targets).collect()} == short
+    assert {r.source for r in mixing.Mixture(df, targets, block=7).report().collect() if r.short} == short
     assert mixing.Mixture(df.limit(0), targets).rows().count() == 0
 
 
@@ -160,6 +162,26 @@ def test_neighbours_recall(spark):
     assert len(got & want) / len(want) >= 0.95 and len(got & want) / len(got) >= 0.95
 
 
+def test_neighbours_exact_and_many_blocks(spark, monkeypatch):
+    """Small blocks divide both halves and cut full cells; recall is measured against the exact mode."""
+    monkeypatch.setattr(neighbours, "BLOCK", 100)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(20, 64))
+    vectors = {f"k{i:04d}": centres[0 if i % 3 == 0 else i % 20] + 0.3 * rng.normal(size=64) for i in range(1500)}
+    df = spark.createDataFrame([("chunk", k, [float(x) for x in v]) for k, v in vectors.items()], "collection string, key string, embedding array<double>")
+    index = neighbours.MultiIndex(df)
+    assert index.tasks > 10
+    asked = index.source.where(F.pmod("id", F.lit(5)) == 0)
+    exact = {(r.id, r.other) for r in index.exact(asked, 5).collect()}
+    names = {r.id: r.key for r in index.source.collect()}
+    want = brute_pairs(vectors, 5)
+    right = [tuple(sorted((names[a], names[b]))) in want for a, b in exact]
+    assert len(exact) == 5 * asked.count() and sum(right) / len(right) > 0.99  # fixed point turns near ties
+    got = {(r.id, r.other) for r in index.search(5).collect()}
+    assert len(exact & got) / len(exact) >= 0.95
+    assert index.exact(asked.limit(0)).count() == 0
+
+
 def test_neighbours_with_many_copies(spark):
     rows = [("topic", f"copy{i:02d}", [1.0] + [0.0] * 63) for i in range(30)] + [("topic", "other", [1.0, 0.5] + [0.0] * 62)] + [("topic", "often", [0.0, 1.0] + [0.0] * 62)] * 20
     df = spark.createDataFrame(rows, "collection string, key string, embedding array<double>")
@@ -229,25 +251,52 @@ def test_alignment_finds_the_planted_pairs(spark):
     df = spark.createDataFrame(rows + rows[:3] + [("n", None, "x", "y"), ("e", " ", "x", "y"), ("h", "# only", "# heading", "z")], "id string, contentAr string, contentEn string, document_id string")
     got = {(r.document_id, r.ar_pos, r.en_pos) for r in alignment.aligned_sentences(df).collect()}
     assert len(got & truth) / len(truth) > 0.95 and len(got & truth) / len(got) > 0.95
-    limit = alignment.BROADCAST_ROWS
-    try:
-        alignment.BROADCAST_ROWS = -1
-        assert {(r.document_id, r.ar_pos, r.en_pos) for r in alignment.aligned_sentences(df).collect()} == got
-    finally:
-        alignment.BROADCAST_ROWS = limit
 
 
-def test_joined_lexicon_gives_what_the_broadcast_one_gives(spark, monkeypatch):
+def test_groups_of_documents_change_nothing(spark, monkeypatch):
     rows, _ = bilingual_corpus(60)
     rows += [("numbers", "غغغ 1234 5678 9012.\nضضض 4321 8765 2109.\n", "Zzz 1234 5678 9012.\nYyy 4321 8765 2109.\n", "x")]
     df = spark.createDataFrame(rows, "id string, contentAr string, contentEn string, other string")
     found = []
-    for limit in (alignment.BROADCAST_ROWS, -1):
-        monkeypatch.setattr(alignment, "BROADCAST_ROWS", limit)
+    for size in (1, 1000):
+        monkeypatch.setattr(alignment, "GROUP_DOCS", size)
         found.append({(r.document_id, r.ar_pos, r.en_pos, round(r.score, 9)) for r in alignment.aligned_sentences(df).collect()})
     assert found[0] == found[1] and any(r[0] == "numbers" for r in found[0])
 
 
+def test_hungarian_of_a_large_group():
+    """Greedy pairing would take the great weights and leave half of the rows unpaired."""
+    n = 340
+    w = np.full((n, n), -1.0)
+    for i in range(n):
+        w[i, i] = 1.0
+        if i % 2 == 0:
+            w[i, i + 1] = 1.5
+    w[1::2] = np.where(w[1::2] > 0, 0.9, -1.0)
+    pairs = set()
+    for i, j in alignment.hungarian(w):
+        pairs.add((i, j))
+    assert pairs == {(i, i) for i in range(n)}
+    assert alignment.assign(w, [], w, w) == pairs
+
+
+def test_spans_inside_the_assignment():
+    half = np.full((3, 2), 0.1)
+    half[0, 0] = half[1, 0] = half[2, 1] = 0.9
+    value = np.where(half > 0.5, half - 0.45, -1.0)
+    # Both neighbours are worth a pair with the shared sentence; without the span one is left out.
+    assert len(alignment.assign(value, [], half, half)) == 2
+    assert alignment.assign(value, [(0, 0, 0)], half, half) == {(0, 0), (1, 0), (2, 1)}
+    assert {(j, i) for i, j in alignment.assign(value.T, [(1, 0, 0)], half.T, half.T)} == {(0, 0), (1, 0), (2, 1)}
+    # A rival that is worth more breaks the span, and its other half goes back to its own worth.
+    rival = value.copy()
+    rival[1, 1] = 2.0
+    assert (1, 1) in alignment.assign(rival, [(0, 0, 0)], half, half) and (0, 0) in alignment.assign(rival, [(0, 0, 0)], half, half)
+    # Three sentences that one puts together are two spans.
+    three = np.full((3, 1), 0.9)
+    assert alignment.assign(three - 0.45, [(0, 0, 0), (0, 1, 0)], three, three) == {(0, 0), (1, 0), (2, 0)}
+
+
 # Boilerplate ----------------------------------------------------------------
 
 def page(i, lang="main"):
@@ -261,11 +310,23 @@ def test_main_runs(spark):
     df = spark.createDataFrame(rows, "page_id long, source_url string, content_html string, host string")
     got = {}
     for r in boilerplate.main_runs(df).collect():
-        got.setdefault(r.page_id, []).append((r.run_no, r.text))
-    assert sorted(got) == list(range(12))
-    for i, runs in got.items():
-        assert [t for _, t in sorted(runs)] == [f"Order {i}/2001: subject {i}", f"Paragraph number {i} speaks at length of matter {i} and of its duties.", f"Second text of page {i} with enough words in it."]
-        assert sorted(n for n, _ in runs) == [6, 7, 8]
+        got.setdefault(r.page_id, []).append(r.run_no)
+    assert sorted(got) == list(range(12)) and all(sorted(runs) == [6, 7, 8] for runs in got.values())
+    texts = {r.page_id: r.text for r in boilerplate.main_texts(df).collect()}
+    assert texts == {i: f"Order {i}/2001: subject {i}\nParagraph number {i} speaks at length of matter {i} and of its duties.\nSecond text of page {i} with enough words in it." for i in range(12)}
+
+
+def test_lists_of_other_instruments_lose_by_vote(spark):
+    """Entries that other pages have in their side columns are none of the text; a paragraph that cites alike is."""
+    entry = lambda i, n: f"Order {n}/2001: subject {i}"
+    def html(i):
+        side = f"<div class='side'><ul><li>{entry(i, 900 + i)}</li><li>{entry(i + 1, 700 + i)}</li></ul></div>"
+        extra = f"<p>{entry(i, 800 + i)}</p>" if i % 3 == 0 else ""
+        return f"<body><div class='main'><h1>{entry(i, i)}</h1><p>The officer of matter {i} shall keep the register in full for the whole year.</p>{extra}<p>Pursuant to Order 5/2001: the officer of matter {i} shall pay.</p></div>{side}</body>"
+    df = spark.createDataFrame([(i, f"https://s.example/{i}", html(i)) for i in range(12)], "page_id long, source_url string, content_html string")
+    for r in boilerplate.main_texts(df).collect():
+        i = r.page_id
+        assert r.text.split("\n") == [entry(i, i), f"The officer of matter {i} shall keep the register in full for the whole year.", f"Pursuant to Order 5/2001: the officer of matter {i} shall pay."]
 
 
 # Scans ----------------------------------------------------------------------
