@@ -52,6 +52,8 @@ HELD_OUT = 4
 POOLED = 20
 #: Characters of statements that are packed together, and counts that a task holds before it hands them on.
 PACK_CHARS, HELD = 200_000, 200_000
+#: Stands for the words between two runs of telling words.
+GAP = "|"
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _STATEMENT = re.compile(r"(?<=[.!?؟;؛])\s+|\n+")
@@ -223,6 +225,30 @@ def unpacked(batches):
                 yield i, [line.split(" ") for line in text.split("\n") if line]
 
 
+def _shortened(words: list[str], telling: set[str]) -> str:
+    return f" {GAP} ".join(" ".join(run) for run in runs(words, telling))
+
+
+def with_only(packed: DataFrame, telling: set[str]) -> DataFrame:
+    """``packed`` with only the ``telling`` words of each statement and a mark where others stood; read by ``unpacked`` too.
+
+    Statements without any are left out. What is mined and scored of such words is the same as of whole statements.
+    """
+    known = packed.sparkSession.sparkContext.broadcast(telling)
+
+    def shorten(batches):
+        telling = known.value
+        for b in batches:
+            out = []
+            for z in b.column("packed"):
+                texts = zlib.decompress(z.as_py()).decode().split("\0")
+                short = "\0".join("\n".join(filter(None, (_shortened(line.split(" "), telling) for line in text.split("\n")))) for text in texts)
+                out.append(zlib.compress(short.encode(), 1))
+            yield pa.RecordBatch.from_arrays([b.column("ids"), pa.array(out, pa.binary())], ["ids", "packed"])
+
+    return packed.mapInArrow(shorten, "ids array<long>, packed binary")
+
+
 def labelled_documents(batches):
     """([statements], subjects) of labelled documents: what a document repeats is one witness of its labels."""
     for b in batches:
@@ -331,8 +357,8 @@ def mine(source: DataFrame, read: Callable, telling: set[str], prior: dict[str,
     return RuleSet(prune(best_subjects(joint.join(alone, "words").toPandas(), prior), prior))
 
 
-def fit_rules(packed: DataFrame, fit: DataFrame) -> RuleSet:
-    """Rules from the labels, extended and sharpened on the statements of all documents.
+def fit_rules(packed: DataFrame, fit: DataFrame) -> tuple[RuleSet, DataFrame]:
+    """(rules, the packed statements to score with them): rules from the labels, extended and sharpened on the statements of all documents.
 
     Labels are few, and hold for whole documents. The first rules therefore mark
     the statements of all documents; what stands in one statement with a
@@ -345,10 +371,12 @@ def fit_rules(packed: DataFrame, fit: DataFrame) -> RuleSet:
     own = own_statements(packed.sparkSession.sparkContext.broadcast(rules), False)
     found = telling_words(packed, own)
     if not found[0]:
-        return rules
-    rules = borne_out(mine(packed, own, *found), None, fit, found[1])
+        return rules, packed
+    # All later rules are of these words.
+    short = cut(with_only(packed, found[0] | rules.telling))
+    rules = borne_out(mine(short, own, *found), None, fit, found[1])
     own = own_statements(packed.sparkSession.sparkContext.broadcast(rules), True)
-    return borne_out(mine(packed, own, *found), packed, fit, found[1])
+    return borne_out(mine(short, own, *found), short, fit, found[1]), short
 
 
 def standing(parts: list[list[str]], rules: RuleSet) -> dict[tuple[str, ...], bool]:
@@ -505,7 +533,8 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
     # Few files are few tasks; only then is there a shuffle.
     packed = cut(packed.repartition(spread) if packed.rdd.getNumPartitions() < spread else packed)
     out = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(HELD_OUT)) == 0
-    rules = calibrate(fit_rules(packed, fit.where(~out)), fit.where(out))
+    rules, packed = fit_rules(packed, fit.where(~out))
+    rules = calibrate(rules, fit.where(out))
     shared = documents.sparkSession.sparkContext.broadcast(rules)
 
     def score(batches):
