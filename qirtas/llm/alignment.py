@@ -344,7 +344,8 @@ def aligned_sentences(legal: DataFrame) -> DataFrame:
     docs = cut(bilingual(legal))
     lexicon = cut(induce_lexicon(docs))
     groups = max(docs.sparkSession.sparkContext.defaultParallelism, -(-docs.count() // GROUP_DOCS))
-    docs = docs.withColumn("group", F.pmod(F.xxhash64("document_id"), F.lit(groups)))
+    # As many partitions as groups: few bytes can be much work.
+    docs = docs.withColumn("group", F.pmod(F.xxhash64("document_id"), F.lit(groups))).repartition(groups, "group")
     schema = "document_id string, ar_pos int, en_pos int, score double, ar_text string, en_text string"
     names = [c.split()[0] for c in schema.split(", ")]
 
@@ -357,6 +358,7 @@ def aligned_sentences(legal: DataFrame) -> DataFrame:
 
     # Entries of the group's Arabic words, and the weights of its English words, also of those without an entry there.
     own = docs.select("group", "ar", "en").mapInPandas(vocabulary, "group long, side string, w string").distinct()
+    own = cut(own)
     entries = own.where("side = 'a'").select("group", F.col("w").alias("a")).join(lexicon, "a").select("group", "a", "e", "weight", "idf_a", F.lit(0.0).alias("idf_e"))
     idf_e = lexicon.groupBy("e").agg(F.first("idf_e").alias("idf_e"))
     english = own.where("side = 'e'").select("group", F.col("w").alias("e")).join(idf_e, "e").select(
