@@ -90,8 +90,7 @@ def statements(text: str) -> list[list[str]]:
     """The words of each statement of a text, lower-case, citations left out."""
     out = []
     for part in _STATEMENT.split(text or ""):
-        words = _WORD.findall(without_citations(part).lower())
-        if words:
+        if words := _WORD.findall(without_citations(part).lower()):
             out.append(words)
     return out
 
@@ -118,6 +117,10 @@ def phrases(found: tuple[tuple[str, ...], ...]) -> list[tuple[str, ...]]:
     ]
 
 
+#: The words of a statement, or its telling words alone as ``with_only`` leaves them.
+Statement = list[str] | str
+
+
 class RuleSet:
     """Rules {word set: (subject, confidence)} and the evidence from which on each subject is given."""
 
@@ -136,43 +139,46 @@ class RuleSet:
                     return a, subject, max(math.log(confidence / (1 - confidence)) + 1.0, 0.05)
         return None
 
-    def _kept(self, name: str, key, make: Callable):
-        """``make()``, remembered under ``key``; statements differ far more than their telling words do."""
+    def _kept(self, name: str, statement: Statement, make: Callable):
+        """``make(runs)``, remembered; statements differ far more than their telling words do."""
         memo = self.__dict__.setdefault("_memo", {}).setdefault(name, {})
+        # What has only telling words left is looked up as it is.
+        key = statement if isinstance(statement, str) else runs(statement, self.telling)
         found = memo.get(key)
         if found is None:
             if len(memo) > 200_000:
                 memo.clear()
-            found = memo[key] = make()
+            found = memo[key] = make(runs(statement.split(" "), self.telling) if isinstance(statement, str) else key)
         return found
 
-    def contained(self, words: list[str]) -> frozenset[tuple[str, ...]]:
+    def contained(self, statement: Statement) -> frozenset[tuple[str, ...]]:
         """The word sets of all rules in a statement's phrases, also of those that a larger one overrules."""
-        key = runs(words, self.telling)
-        return self._kept("within", key, lambda: frozenset(
-            a for p in phrases(key) for size in self.sizes if size <= len(p) for a in combinations(p, size) if a in self.rules
+        return self._kept("within", statement, lambda found: frozenset(
+            a for p in phrases(found) for size in self.sizes if size <= len(p) for a in combinations(p, size) if a in self.rules
         ))
 
-    def hits(self, words: list[str]) -> dict[tuple[str, ...], tuple[str, float]]:
-        """Word set -> (subject, log odds) of the rules that a statement's phrases match, each once."""
-        key = runs(words, self.telling)
-        return self._kept("hits", key, lambda: {hit[0]: hit[1:] for p in phrases(key) if (hit := self.match(p))})
+    def hits(self, found: tuple[tuple[str, ...], ...]) -> dict[tuple[str, ...], tuple[str, float]]:
+        """Word set -> (subject, log odds) of the rules that the phrases of ``runs`` match, each once."""
+        return {hit[0]: hit[1:] for p in phrases(found) if (hit := self.match(p))}
 
-    def statement(self, words: list[str]) -> dict[str, float]:
+    def statement(self, statement: Statement) -> dict[str, float]:
         """Subject -> evidence in log odds, less what other subjects have, where positive."""
-        key = runs(words, self.telling)
-        return self._kept("weighed", key, lambda: weighed(self.hits(words)))
+        return self._kept("weighed", statement, lambda found: weighed(self.hits(found)))
+
+    def clear(self, statement: Statement) -> tuple[str, ...]:
+        """The subjects (one at most) that a statement has enough evidence for."""
+        return self._kept("clear", statement, lambda found: tuple(s for s, e in weighed(self.hits(found)).items() if e >= CLEAR))
 
-    def strongest(self, parts: list[list[str]]) -> dict[str, float]:
+    def strongest(self, parts: list[Statement]) -> dict[str, float]:
         """Subject -> the evidence of the strongest of the statements for it."""
         best: dict[str, float] = {}
-        for words in parts:
-            for s, e in self.statement(words).items():
+        for part in parts:
+            for s, e in self.statement(part).items():
                 if e > best.get(s, 0.0):
                     best[s] = e
         return best
 
-    def given(self, parts: list[list[str]]) -> list[tuple[str, float]]:
+    def given(self, parts: list[Statement]) -> list[tuple[str, float]]:
         """(subject, evidence) of the subjects of a document."""
         return [(s, e) for s, e in self.strongest(parts).items() if e >= self.thresholds.get(s, 0.0)]
 
@@ -216,13 +222,13 @@ def packed_statements(texts: DataFrame) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(pack, "ids array<long>, packed binary")
 
 
-def unpacked(batches):
-    """(doc_id, statements) of each document."""
+def unpacked(batches, split: bool = True):
+    """(doc_id, statements) of each document; without ``split`` each statement as one string."""
     for b in batches:
         for ids, z in zip(b.column("ids"), b.column("packed")):
             texts = zlib.decompress(z.as_py()).decode().split("\0")
             for i, text in zip(ids.as_py(), texts):
-                yield i, [line.split(" ") for line in text.split("\n") if line]
+                yield i, [line.split(" ") if split else line for line in text.split("\n") if line]
 
 
 def _shortened(words: list[str], telling: set[str]) -> str:
@@ -256,17 +262,18 @@ def labelled_documents(batches):
             yield statements(t), subjects
 
 
-def own_statements(rules: Broadcast, unknown: bool):
-    """Reads packed statements as ([words], subjects), with the one subject that the ``RuleSet`` sees in each.
+def own_statements(rules: Broadcast, unknown: bool, split: bool = False):
+    """Reads packed statements as ([statement], subjects), with the one subject that the ``RuleSet`` sees in each.
 
     Statements in which it sees none are left out, or with ``unknown`` kept without a subject.
     """
     def read(batches):
-        for _, parts in unpacked(batches):
-            for w in parts:
-                seen = [s for s, e in rules.value.statement(w).items() if e >= CLEAR]
+        clear = rules.value.clear
+        for _, parts in unpacked(batches, split):
+            for part in parts:
+                seen = clear(part)
                 if seen or unknown:
-                    yield [w], seen
+                    yield [part], seen
 
     return read
 
@@ -295,20 +302,27 @@ def telling_words(source: DataFrame, read: Callable) -> tuple[set[str], dict[str
     types = pa.schema([("w", pa.string()), ("s", pa.string()), ("n", pa.int64())])
 
     def count(batches):
-        # Subject or None for all cases -> word -> number; "" counts the cases.
-        held: dict[str | None, Counter] = {None: Counter()}
+        # Subjects -> word -> number; "" counts the cases.
+        held: dict[tuple[str, ...], Counter] = {}
 
         def batch():
-            rows = [(w or None, s, n) for s, c in held.items() for w, n in c.items()]
+            out: dict[str | None, Counter] = {None: Counter()}
+            for subjects, words in held.items():
+                for s in (None, *subjects):
+                    out.setdefault(s, Counter()).update(words)
+            rows = [(w or None, s, n) for s, c in out.items() for w, n in c.items()]
             return pa.RecordBatch.from_pydict({"w": [r[0] for r in rows], "s": [r[1] for r in rows], "n": [r[2] for r in rows]}, types)
 
-        for parts, subjects in read(batches):
-            words = {w for words in parts for w in words} | {""}
-            for s in (None, *subjects):
-                held.setdefault(s, Counter()).update(words)
-            if len(held[None]) > HELD:
+        for cases, (parts, subjects) in enumerate(read(batches), 1):
+            words = set(parts[0]).union(*parts[1:]) if parts else set()
+            words.add("")
+            counter = held.get(key := tuple(subjects))
+            if counter is None:
+                counter = held[key] = Counter()
+            counter.update(words)
+            if cases % 1000 == 0 and sum(map(len, held.values())) > HELD:
                 yield batch()
-                held = {None: Counter()}
+                held = {}
         yield batch()
 
     counted = cut(source.mapInArrow(count, "w string, s string, n long").groupBy("w", "s").agg(F.sum("n").alias("n")))
@@ -334,10 +348,21 @@ def mine(source: DataFrame, read: Callable, telling: set[str], prior: dict[str,
     known = source.sparkSession.sparkContext.broadcast(telling)
 
     def baskets(batches):
-        telling = known.value
+        telling, memo = known.value, {}
+
+        def sets(statement: Statement) -> frozenset[tuple[str, ...]]:
+            if not isinstance(statement, str):
+                return frozenset(phrases(runs(statement, telling)))
+            found = memo.get(statement)
+            if found is None:
+                if len(memo) > 200_000:
+                    memo.clear()
+                found = memo[statement] = frozenset(phrases(runs(statement.split(" "), telling)))
+            return found
+
         for parts, subjects in read(batches):
             marks = tuple("=" + s for s in subjects)
-            for q in {q for words in parts for q in phrases(runs(words, telling))}:
+            for q in sets(parts[0]) if len(parts) == 1 else {q for part in parts for q in sets(part)}:
                 yield q + marks
 
     # Equal baskets of a task are kept once, with their number.
@@ -368,40 +393,37 @@ def fit_rules(packed: DataFrame, fit: DataFrame) -> tuple[RuleSet, DataFrame]:
     """
     cases = fit.select("text", "subjects")
     rules = mine(cases, labelled_documents, *telling_words(cases, labelled_documents))
-    own = own_statements(packed.sparkSession.sparkContext.broadcast(rules), False)
-    found = telling_words(packed, own)
+    shared = packed.sparkSession.sparkContext.broadcast(rules)
+    found = telling_words(packed, own_statements(shared, False, split=True))
     if not found[0]:
         return rules, packed
     # All later rules are of these words.
     short = cut(with_only(packed, found[0] | rules.telling))
-    rules = borne_out(mine(short, own, *found), None, fit, found[1])
-    own = own_statements(packed.sparkSession.sparkContext.broadcast(rules), True)
-    return borne_out(mine(short, own, *found), short, fit, found[1]), short
+    rules = borne_out(mine(short, own_statements(shared, False), *found), None, fit, found[1])
+    shared = packed.sparkSession.sparkContext.broadcast(rules)
+    return borne_out(mine(short, own_statements(shared, True), *found), short, fit, found[1]), short
 
 
-def standing(parts: list[list[str]], rules: RuleSet) -> dict[tuple[str, ...], bool]:
+def standing(parts: list[Statement], rules: RuleSet) -> dict[tuple[str, ...], bool]:
     """The rules whose words stand in a document, with whether the rest of it has their subject too.
 
-    The rest are the rules that stand in no statement together with this one, so
-    that a sentence that is repeated doesn't confirm its copy. A rest without any
-    subject says nothing; the rule is left out there.
+    The rest are the statements without these words, so that a sentence that is
+    repeated doesn't confirm its copy. A rest without any subject says nothing; the rule is left out there.
     """
-    bearing: dict[str, set] = {}
-    beside: dict[tuple[str, ...], set] = {}
-    for words in parts:
-        hits = rules.hits(words)
-        clear = {s for s, e in weighed(hits).items() if e >= CLEAR}
-        for a, (s, _) in hits.items():
-            if s in clear:
-                bearing.setdefault(s, set()).add(a)
-        held = rules.contained(words)
-        for a in held:
-            beside.setdefault(a, set()).update(held)
+    whole: Counter = Counter()
+    beside: dict[tuple[str, ...], list[str]] = {}
+    for part in parts:
+        clear = rules.clear(part)
+        whole.update(clear)
+        for a in rules.contained(part):
+            beside.setdefault(a, []).extend(clear)
     out = {}
-    for a, with_it in beside.items():
-        rest = {s for s, sets in bearing.items() if not sets <= with_it}
-        if rest:
-            out[a] = rules.rules[a][0] in rest
+    for a, subjects in beside.items():
+        subject = rules.rules[a][0]
+        if whole[subject] > subjects.count(subject):
+            out[a] = True
+        elif any(n > subjects.count(s) for s, n in whole.items()):
+            out[a] = False
     return out
 
 
@@ -421,7 +443,7 @@ def borne_out(rules: RuleSet, packed: DataFrame | None, fit: DataFrame, prior: d
     def rest(batches):
         rules, number = shared.value
         held: Counter = Counter()
-        for _, parts in unpacked(batches):
+        for _, parts in unpacked(batches, split=False):
             held.update((number[a], hit) for a, hit in standing(parts, rules).items())
         yield pa.RecordBatch.from_pydict({"rule": [i for i, _ in held], "hit": [h for _, h in held], "n": list(held.values())}, pa.schema([("rule", pa.int64()), ("hit", pa.bool_()), ("n", pa.int64())]))
 
@@ -541,7 +563,7 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
         rules = shared.value
         for b in batches:
             rows = [
-                (i, s, e) for i, parts in unpacked([b]) if i is not None for s, e in rules.given(parts)
+                (i, s, e) for i, parts in unpacked([b], split=False) if i is not None for s, e in rules.given(parts)
             ]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.float64())],
