@@ -69,7 +69,7 @@ def without_citations(statement: str) -> str:
     clause or brackets it is in, brackets right after it, and a clause that goes
     on in lower case right after it.
     """
-    if not _NUMBER.search(statement):
+    if "/" not in statement or not _NUMBER.search(statement):
         return statement
     statement = re.sub(r"([0-9٠-٩]+\s*/\s*[0-9٠-٩]{4})\s*\([^()]*\)", r"\1", statement)
     statement = _PARENTHESIS.sub(lambda m: " " if _NUMBER.search(m.group()) else m.group(), statement)
@@ -256,36 +256,61 @@ def with_only(packed: DataFrame, telling: set[str]) -> DataFrame:
 
 
 def labelled_documents(batches):
-    """([statements], subjects) of labelled documents: what a document repeats is one witness of its labels."""
+    """([statements], subjects, 1) of labelled documents: what a document repeats is one witness of its labels."""
     for b in batches:
         for t, subjects in zip(b.column("text").to_pylist(), b.column("subjects").to_pylist()):
-            yield statements(t), subjects
+            yield statements(t), subjects, 1
 
 
-def own_statements(rules: Broadcast, unknown: bool, split: bool = False):
-    """Reads packed statements as ([statement], subjects), with the one subject that the ``RuleSet`` sees in each.
+def own_statements(rules: Broadcast):
+    """Reads packed statements as ([words], subjects, 1), with the one subject that the ``RuleSet`` sees in each; others are left out."""
+    def read(batches):
+        clear = rules.value.clear
+        for _, parts in unpacked(batches):
+            for words in parts:
+                if seen := clear(words):
+                    yield [words], seen, 1
 
-    Statements in which it sees none are left out, or with ``unknown`` kept without a subject.
-    """
+    return read
+
+
+def own_lines(rules: Broadcast, unknown: bool):
+    """Reads (line, n) as ([line], subjects, n), in the same way; with ``unknown`` also those without a subject."""
     def read(batches):
         clear = rules.value.clear
-        for _, parts in unpacked(batches, split):
-            for part in parts:
-                seen = clear(part)
+        for b in batches:
+            for line, n in zip(b.column("line").to_pylist(), b.column("n").to_pylist()):
+                seen = clear(line)
                 if seen or unknown:
-                    yield [part], seen
+                    yield [line], seen, n
 
     return read
 
 
+def lines_of(short: DataFrame) -> DataFrame:
+    """(line, n): the statements of ``with_only``, equal ones counted; what is left of them repeats often."""
+    types = pa.schema([("line", pa.string()), ("n", pa.int64())])
+
+    def count(batches):
+        held: Counter = Counter()
+        for _, parts in unpacked(batches, split=False):
+            held.update(parts)
+            if len(held) > HELD:
+                yield pa.RecordBatch.from_pydict({"line": list(held), "n": list(held.values())}, types)
+                held.clear()
+        yield pa.RecordBatch.from_pydict({"line": list(held), "n": list(held.values())}, types)
+
+    return short.mapInArrow(count, "line string, n long").groupBy("line").agg(F.sum("n").alias("n"))
+
+
 def _counted(source: DataFrame, keys: Callable) -> DataFrame:
-    """(w, n): what ``keys(batches)`` of each task gives with how often it did, handed on before it becomes too much."""
+    """(w, n): what ``keys(batches)`` of each task gives as (w, n), added up, handed on before it becomes too much."""
     types = pa.schema([("w", pa.list_(pa.string())), ("n", pa.int64())])
 
     def count(batches):
         held: Counter = Counter()
-        for key in keys(batches):
-            held[key] += 1
+        for key, n in keys(batches):
+            held[key] += n
             if len(held) > HELD:
                 yield pa.RecordBatch.from_pydict({"w": list(held), "n": list(held.values())}, types)
                 held.clear()
@@ -295,9 +320,9 @@ def _counted(source: DataFrame, keys: Callable) -> DataFrame:
 
 
 def telling_words(source: DataFrame, read: Callable) -> tuple[set[str], dict[str, float]]:
-    """The words that tell a subject in the cases ([statements], subjects) that ``read`` gives, and the subjects' shares.
+    """The words that tell a subject in the cases ([statements], subjects, number) that ``read`` gives, and the subjects' shares.
 
-    Every case counts, a word once in it.
+    Every case counts once, a word once in it.
     """
     types = pa.schema([("w", pa.string()), ("s", pa.string()), ("n", pa.int64())])
 
@@ -313,7 +338,7 @@ def telling_words(source: DataFrame, read: Callable) -> tuple[set[str], dict[str
             rows = [(w or None, s, n) for s, c in out.items() for w, n in c.items()]
             return pa.RecordBatch.from_pydict({"w": [r[0] for r in rows], "s": [r[1] for r in rows], "n": [r[2] for r in rows]}, types)
 
-        for cases, (parts, subjects) in enumerate(read(batches), 1):
+        for cases, (parts, subjects, _) in enumerate(read(batches), 1):
             words = set(parts[0]).union(*parts[1:]) if parts else set()
             words.add("")
             counter = held.get(key := tuple(subjects))
@@ -341,29 +366,18 @@ def telling_words(source: DataFrame, read: Callable) -> tuple[set[str], dict[str
 
 
 def mine(source: DataFrame, read: Callable, telling: set[str], prior: dict[str, float]) -> RuleSet:
-    """Class-association rules of the cases ([statements], subjects) that ``read`` gives of batches of ``source``.
+    """Class-association rules of the cases ([statements], subjects, number) that ``read`` gives of batches of ``source``.
 
-    Every case counts, a phrase once in it. What the driver gets are the sets and rules of the telling words.
+    Every case counts by its number, a phrase once in it. What the driver gets are the sets and rules of the telling words.
     """
     known = source.sparkSession.sparkContext.broadcast(telling)
 
     def baskets(batches):
-        telling, memo = known.value, {}
-
-        def sets(statement: Statement) -> frozenset[tuple[str, ...]]:
-            if not isinstance(statement, str):
-                return frozenset(phrases(runs(statement, telling)))
-            found = memo.get(statement)
-            if found is None:
-                if len(memo) > 200_000:
-                    memo.clear()
-                found = memo[statement] = frozenset(phrases(runs(statement.split(" "), telling)))
-            return found
-
-        for parts, subjects in read(batches):
+        telling = known.value
+        for parts, subjects, n in read(batches):
             marks = tuple("=" + s for s in subjects)
-            for q in sets(parts[0]) if len(parts) == 1 else {q for part in parts for q in sets(part)}:
-                yield q + marks
+            for q in {q for part in parts for q in phrases(runs(part.split(" ") if isinstance(part, str) else part, telling))}:
+                yield q + marks, n
 
     # Equal baskets of a task are kept once, with their number.
     packed = cut(_counted(source, baskets))
@@ -394,14 +408,15 @@ def fit_rules(packed: DataFrame, fit: DataFrame) -> tuple[RuleSet, DataFrame]:
     cases = fit.select("text", "subjects")
     rules = mine(cases, labelled_documents, *telling_words(cases, labelled_documents))
     shared = packed.sparkSession.sparkContext.broadcast(rules)
-    found = telling_words(packed, own_statements(shared, False, split=True))
+    found = telling_words(packed, own_statements(shared))
     if not found[0]:
         return rules, packed
     # All later rules are of these words.
     short = cut(with_only(packed, found[0] | rules.telling))
-    rules = borne_out(mine(short, own_statements(shared, False), *found), None, fit, found[1])
+    lines = cut(lines_of(short))
+    rules = borne_out(mine(lines, own_lines(shared, False), *found), None, fit, found[1])
     shared = packed.sparkSession.sparkContext.broadcast(rules)
-    return borne_out(mine(short, own_statements(shared, True), *found), short, fit, found[1]), short
+    return borne_out(mine(lines, own_lines(shared, True), *found), short, fit, found[1]), short
 
 
 def standing(parts: list[Statement], rules: RuleSet) -> dict[tuple[str, ...], bool]:
@@ -410,21 +425,22 @@ def standing(parts: list[Statement], rules: RuleSet) -> dict[tuple[str, ...], bo
     The rest are the statements without these words, so that a sentence that is
     repeated doesn't confirm its copy. A rest without any subject says nothing; the rule is left out there.
     """
-    whole: Counter = Counter()
-    beside: dict[tuple[str, ...], list[str]] = {}
+    # Of all statements, and of those with each rule, how many have each subject; one has at most one.
+    whole: dict[str, int] = {}
+    beside: dict[tuple[tuple[str, ...], str | None], int] = {}
     for part in parts:
-        clear = rules.clear(part)
-        whole.update(clear)
+        subject = (rules.clear(part) or (None,))[0]
+        if subject is not None:
+            whole[subject] = whole.get(subject, 0) + 1
         for a in rules.contained(part):
-            beside.setdefault(a, []).extend(clear)
-    out = {}
-    for a, subjects in beside.items():
-        subject = rules.rules[a][0]
-        if whole[subject] > subjects.count(subject):
-            out[a] = True
-        elif any(n > subjects.count(s) for s, n in whole.items()):
-            out[a] = False
-    return out
+            key = a, subject
+            beside[key] = beside.get(key, 0) + 1
+    total, held, same = sum(whole.values()), {}, {}
+    for (a, subject), n in beside.items():
+        held[a] = held.get(a, 0) + (n if subject is not None else 0)
+        if subject == rules.rules[a][0]:
+            same[a] = n
+    return {a: whole.get(rules.rules[a][0], 0) > same.get(a, 0) for a, n in held.items() if total > n}
 
 
 def borne_out(rules: RuleSet, packed: DataFrame | None, fit: DataFrame, prior: dict[str, float]) -> RuleSet:
