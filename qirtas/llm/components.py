@@ -34,9 +34,10 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     joined against one row per vertex, which adaptive execution can split.
     """
     pairs = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u is not null and v is not null")
-    vertices = pairs.select(F.explode(F.array("u", "v")).alias("vertex")).distinct()
+    # The source is read once; rows of one vertex alone (u = v) are kept beside the edges.
     ends = F.array(F.struct(F.col("u"), F.col("v")), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
-    active = cut(pairs.where("u <> v").select(F.explode(ends).alias("e")).select("e.*").distinct())
+    every = cut(pairs.select(F.explode(ends).alias("e")).select("e.*").distinct())
+    active = every.where("u <> v")
 
     forest: list[DataFrame] = []
     while not active.isEmpty():
@@ -51,21 +52,21 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
         best = told.groupBy("u").agg(F.min("m").alias("best"), F.max(F.col("m") == F.col("u")).alias("stays"))
         best = cut(best)
         links = told.join(best.select("u", "best"), "u").where("m <> best").select(F.col("best").alias("u"), F.col("m").alias("v"))
-        following = cut(links.select(F.explode(ends).alias("e")).select("e.*").distinct())
-        forest.append(best.where("not stays").select(F.col("u").alias("child"), F.col("best").alias("parent")))
-        active = following
+        active = cut(links.select(F.explode(ends).alias("e")).select("e.*").distinct())
+        # A vertex that nobody has as minimum is the child of its own best; the others are their own parents on this level.
+        forest.append(best.select(F.col("u").alias("vertex"), F.when(F.col("stays"), F.col("u")).otherwise(F.col("best")).alias("parent")))
 
-    # A vertex that was never dropped is a seed: it is the root of its component.
-    if not forest:
-        return vertices.select("vertex", F.col("vertex").alias("root"))
-    dropped = forest[0].select("child")
-    for tree in forest[1:]:
-        dropped = dropped.unionByName(tree.select("child"))
-    known = cut(vertices.join(dropped, F.col("vertex") == F.col("child"), "left_anti").select("vertex", F.col("vertex").alias("root")))
-    for tree in reversed(forest):
-        reached = tree.join(known, tree["parent"] == known["vertex"]).select(F.col("child").alias("vertex"), "root")
-        known = cut(known.unionByName(reached))
-    return known
+    # Down the forest: a level holds only the vertices that were active in it, so all levels together are
+    # a small multiple of the vertices. A parent that is not on the next level is a seed, the root of its component.
+    known = None
+    for level in reversed(forest):
+        if known is None:
+            known = level.withColumnRenamed("parent", "root")
+        else:
+            upper = known.select(F.col("vertex").alias("parent"), "root")
+            known = cut(level.join(upper, "parent", "left").select("vertex", F.coalesce("root", "parent").alias("root")))
+    alone = every.where("u = v").select(F.col("u").alias("vertex"), F.col("u").alias("root"))
+    return alone if known is None else known.unionByName(alone.join(known.select("vertex"), "vertex", "left_anti"))
 
 
 def topic_groups(candidates: DataFrame) -> DataFrame:
