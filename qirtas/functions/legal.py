@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from qirtas.functions.text import SPACE, normalize_digits, normalize_whitespace
+from qirtas.functions.text import SPACE, normalize_digits, normalize_whitespace, squeeze
 
 # Words that show a relation, and forms of document types.
-AMEND_WORDS = "amend amends amending amended modify modifies modifying modified".split()
+AMEND_WORDS = ("amend", "amends", "amending", "amended", "modify", "modifies", "modifying", "modified")
 AMEND_ARABIC = ("تعديل", "يعدل", "تعدل", "تستبدل")
-REPEAL_WORDS = "repeal repeals repealed cancel cancels abolish abolishes abolished".split()
+REPEAL_WORDS = ("repeal", "repeals", "repealed", "cancel", "cancels", "abolish", "abolishes", "abolished")
 REPEAL_ARABIC = ("يلغى", "تلغى", "إلغاء", "إلغاؤه")
 DOCUMENT_TYPES = (
     (r"مرسوم\s+سلطاني|royal\s+decree", "Royal Decree"),
@@ -72,11 +72,50 @@ def reference_type_label(raw: Column) -> Column:
     return F.coalesce(document_type_label(raw), F.when(raw.rlike("(?i)قانون|law"), "Law"), normalize_whitespace(raw))
 
 
-def document_number(text: Column) -> Column:
-    """The first n/yyyy of a text, or null."""
+# The forms of dates in text, in the order they are looked for.
+DATE_PATTERNS = (
+    r"\b\d{4}-\d{2}-\d{2}\b",
+    r"\b\d{1,2}\s+[A-Za-z]+\s+\d{4}\b",
+    r"\b\d{1,2}\s+من\s+\S+\s+سنة\s+\d{4}\s*هـ?(?:[^\p{L}\p{N}_]|$)",
+    r"\b\d{1,2}\s+من\s+\S+\s+سنة\s+\d{4}\s*م(?:[^\p{L}\p{N}_]|$)",
+    r"\b\d{1,2}\s*/\s*\d{1,2}\s*/\s*\d{2,4}\b",
+)
+# Numbers in words, issues of a gazette, and what issues royal decrees.
+NUMBER_OF_YEAR = r"(?:royal\s+decree|ministerial\s+decision|decision|decree)\s+(\d{1,4})\s+of\s+(\d{4})"
+GAZETTE, GAZETTE_ISSUE = "Official Gazette", r"(?:العدد|issue)\s+(\d{1,5})"
+ROYAL, ROYAL_ISSUER = r"(?i)royal decree|مرسوم سلطاني", "Sultan of Oman"
+#: Lines at the end of a text that may be a signature.
+SIGNATURE_LINES = 50
+
+
+def document_number(text: Column, document_type: Column | None = None) -> Column:
+    """The first n/yyyy of a text, else "n of yyyy" after a type, else the issue of a gazette; or null."""
+    t = normalize_digits(text)
+    pair = lambda p: F.when(t.rlike("(?i)" + p), F.concat(F.regexp_extract(t, "(?i)" + p, 1), F.lit("/"), F.regexp_extract(t, "(?i)" + p, 2)))
+    found = [pair(NUMBER), pair(NUMBER_OF_YEAR)]
+    if document_type is not None:
+        found.append(F.when((document_type == GAZETTE) & t.rlike("(?i)" + GAZETTE_ISSUE), F.regexp_extract(t, "(?i)" + GAZETTE_ISSUE, 1)))
+    return F.coalesce(*found)
+
+
+def date_in_text(text: Column) -> Column:
+    """The first date of a text, as it is written there, or null."""
     t = normalize_digits(text)
-    a, b = F.regexp_extract(t, "(?i)" + NUMBER, 1), F.regexp_extract(t, "(?i)" + NUMBER, 2)
-    return F.when(a != "", F.concat(a, F.lit("/"), b))
+    found = [F.regexp_substr(t, F.lit("(?i)" + p)) for p in DATE_PATTERNS]
+    # The sign after a date only shows that it has ended.
+    return squeeze(F.regexp_replace(F.coalesce(*found), r"([هم]ـ?)[^\p{L}\p{N}_ـ]$", "$1"))
+
+
+def issuer_of(title: Column, tags: Column, text: Column) -> Column:
+    """What a title has before its colon, else the issuer of royal decrees, else a tag or signature line that looks like one."""
+    t = squeeze(title)
+    prefix = squeeze(F.substring_index(t, ":", 1))
+    named = F.when(t.contains(":") & F.length(prefix).between(3, 140), prefix)
+    royal = F.when(t.rlike(ROYAL), ROYAL_ISSUER)
+    lines = F.filter(F.transform(F.split(text, "\n"), squeeze), lambda x: x != "")
+    last = F.reverse(F.slice(lines, F.greatest(F.size(lines) - SIGNATURE_LINES + 1, F.lit(1)), SIGNATURE_LINES))
+    first = lambda xs: F.try_element_at(F.filter(xs, looks_like_issuer), F.lit(1))
+    return F.coalesce(named, royal, first(F.transform(tags, squeeze)), F.when(F.size(lines) > 0, first(last)))
 
 
 def looks_like_issuer(text: Column) -> Column:

@@ -88,6 +88,6 @@ def title_from_url(url: Column) -> Column:
 
 
 def raw_file_stem(url: Column) -> Column:
-    """Slug of at most 90 characters and 12 hex digits of the hash."""
-    slug = F.regexp_replace(F.concat(host(url), path(url)), r"[^A-Za-z0-9]+", "-")
-    return F.concat(F.substring(F.regexp_replace(slug, "^-+|-+$", ""), 1, 90), F.lit("-"), F.substring(F.sha1(url), 1, 12))
+    """The path as a slug of at most 90 characters, or ``root``, and 12 hex digits of the hash."""
+    slug = F.substring(F.regexp_replace(F.regexp_replace(path(url), r"[^A-Za-z0-9]+", "-"), "^-+|-+$", ""), 1, 90)
+    return F.concat(F.when(slug == "", "root").otherwise(slug), F.lit("-"), F.substring(F.sha1(url), 1, 12))

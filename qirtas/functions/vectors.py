@@ -6,10 +6,13 @@ import hashlib
 import math
 import re
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qirtas.functions.text import WORD
+
+_WORD = re.compile(r"[\w؀-ۿ]+")
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -39,29 +42,48 @@ def is_valid(a: Column, dims: int) -> Column:
     return F.coalesce((F.size(a) == dims) & good & F.exists(a, lambda x: x != 0), F.lit(False))
 
 
+def _slot(word: str) -> tuple[int, float]:
+    """The number and sign that a word's digest gives it."""
+    digest = hashlib.sha256(word.encode("utf-8", "replace")).digest()
+    return int.from_bytes(digest[:4], "big"), 1.0 if digest[4] % 2 == 0 else -1.0
+
+
+def _hash_slots(text: str, dims: int, memo: dict[str, tuple[int, float]]) -> dict[int, float]:
+    """Slot -> value of the non-zero slots, at length one."""
+    sums: dict[int, float] = {}
+    for w in _WORD.findall(text.lower()) or [text or "empty"]:
+        found = memo.get(w)
+        if found is None:
+            if len(memo) > 500_000:
+                memo.clear()
+            found = memo[w] = _slot(w)
+        slot = found[0] % dims
+        sums[slot] = sums.get(slot, 0.0) + found[1]
+    length = math.sqrt(sum(x * x for x in sums.values()))
+    return {slot: x / length for slot, x in sums.items() if x}
+
+
 def hash_embedding(text: str, dims: int) -> list[float]:
-    """The hashing embedding of one text, for query literals."""
-    words = re.findall(r"[\w؀-ۿ]+", text.lower()) or [text or "empty"]
+    """The hashing embedding of one text; a text without words counts as one word, itself, or ``empty`` if it is empty."""
     out = [0.0] * dims
-    for w in words:
-        d = hashlib.sha256(w.encode()).digest()
-        out[int.from_bytes(d[:4], "big") % dims] += 1.0 if d[4] % 2 == 0 else -1.0
-    length = math.sqrt(sum(x * x for x in out))
-    return [x / length for x in out] if length else out
+    for slot, x in _hash_slots(text, dims, {}).items():
+        out[slot] = x
+    return out
 
 
 def hash_embeddings(df: DataFrame, key: str, text: str, dims: int) -> DataFrame:
-    """(key, slot, value): the non-zero slots of the hashing embedding of every text.
+    """(key, slot, value): the non-zero slots of the hashing embedding of every text; null counts as empty.
 
-    A text without words counts as one word, itself, or ``empty`` if it is blank.
+    A function of one row, so nothing is shuffled: texts go through in Arrow batches, and a word is hashed once per task.
     """
-    low = F.lower(F.coalesce(F.col(text), F.lit("")))
-    words = F.regexp_extract_all(low, F.lit(f"([{WORD}]+)"), F.lit(1))
-    whole = F.array(F.when(low == "", "empty").otherwise(F.coalesce(F.col(text), F.lit("empty"))))
-    word = df.select(key, F.explode(F.when(F.size(words) > 0, words).otherwise(whole)).alias("w")).groupBy(key, "w").agg(F.count("*").alias("n"))
-    digest = F.sha2("w", 256)
-    slot = (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % dims).cast("int")
-    sign = F.when(F.conv(F.substring(digest, 9, 2), 16, 10).cast("int") % 2 == 0, 1).otherwise(-1)
-    sums = word.groupBy(key, slot.alias("slot")).agg(F.sum(sign * F.col("n")).cast("double").alias("v")).where("v <> 0")
-    lengths = sums.groupBy(key).agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("length"))
-    return sums.join(lengths, key).select(key, "slot", (F.col("v") / F.col("length")).alias("value"))
+    kind = df.schema[key].dataType.simpleString()
+
+    def embed(batches):
+        memo: dict[str, tuple[int, float]] = {}
+        for b in batches:
+            found = [_hash_slots(t or "", dims, memo) for t in b.column("text").to_pylist()]
+            at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+            slots = pa.array([s for f in found for s in f], pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column("key").take(at), slots, pa.array([x for f in found for x in f.values()], pa.float64())], [key, "slot", "value"])
+
+    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(embed, f"`{key}` {kind}, slot int, value double")

@@ -89,10 +89,10 @@ def documents_without_topics(documents: DataFrame, document_topics: DataFrame) -
     return left.join(topics, "id", "left_anti").orderBy(F.desc_nulls_first("date"), "id")
 
 
-def link_topics(topics: DataFrame, documents: DataFrame) -> DataFrame:
-    """(document_id, normalized_name, confidence): links of known documents, the most confident winning."""
+def link_topics(topics: DataFrame, documents: DataFrame, order: str) -> DataFrame:
+    """(document_id, normalized_name, confidence): links of known documents; the last by ``order`` overwrites, the most confident on ties."""
     known = topics.join(documents.select(F.col("id").alias("document_id")).distinct(), "document_id", "left_semi")
-    return known.groupBy("document_id", "normalized_name").agg(F.max("confidence").alias("confidence"))
+    return known.groupBy("document_id", "normalized_name").agg(F.max_by("confidence", F.struct(order, "confidence")).alias("confidence"))
 
 
 def frontier_step(queue: DataFrame, visited: DataFrame, found: DataFrame) -> DataFrame:

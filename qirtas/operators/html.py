@@ -9,19 +9,24 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import DataFrame
 
-_VOID = frozenset("br hr img input meta link area base col embed source track wbr".split())
+_VOID = frozenset(("br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"))
 # Elements and classes that hold no content, and parts of class names that advertise or track.
-NOISE_TAGS = frozenset("script style noscript iframe svg canvas form button input select textarea nav header footer aside".split())
-NOISE_CLASSES = frozenset(
-    "site-header site-footer main-navigation navigation nav-links sidebar widget menu search-form sharedaddy "
-    "cookie-notice adsbygoogle advertisement social-navigation".split()
-)
+NOISE_TAGS = frozenset((
+    "script", "style", "noscript", "iframe", "svg", "canvas", "form", "button", "input", "select", "textarea",
+    "nav", "header", "footer", "aside",
+))
+NOISE_CLASSES = frozenset((
+    "site-header", "site-footer", "main-navigation", "navigation", "nav-links", "sidebar", "widget", "menu",
+    "search-form", "sharedaddy", "cookie-notice", "adsbygoogle", "advertisement", "social-navigation",
+))
 NOISE_PARTS = ("advert", "tracking", "analytics", "cookie", "share", "social")
 _CONTENT_CLASSES = ("entry-content", "post-content", "content")
 _SKIP_TITLES = frozenset(("search", "menu", "browse"))
-_ARTICLE = re.compile(r"^\s*(article|chapter|section|المادة|مادة|الفصل|الباب|القسم)\b", re.I)
+# The words that a label consists of, with one more word.
+_LABEL = re.compile(r"(?:(?:article|chapter|section)\s+\w+|(?:المادة|الفصل|الباب)\s+\S+)", re.I)
+LABEL_CHARS = 90
 _CLOSES = {"p": {"p"}, "li": {"li", "p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
-_INLINE = frozenset("a b i em strong span u sup sub font code small label".split())
+_INLINE = frozenset(("a", "b", "i", "em", "strong", "span", "u", "sup", "sub", "font", "code", "small", "label"))
 
 
 class Node:
@@ -49,6 +54,28 @@ class Node:
                 stack += reversed(node.children)
         return " ".join(" ".join(parts).split())
 
+    def short_text(self, most: int) -> str:
+        """The text if it has at most ``most`` characters, else empty; stops looking when it has more."""
+        parts, length, stack = [], 0, [self]
+        while stack:
+            node = stack.pop()
+            if isinstance(node, str):
+                if word := " ".join(node.split()):
+                    parts.append(word)
+                    length += len(word) + 1
+                    if length > 2 * most:
+                        return ""
+            elif node.tag not in ("script", "style"):
+                stack += reversed(node.children)
+        text = " ".join(parts)
+        return text if len(text) <= most else ""
+
+    def within(self, tag: str) -> bool:
+        node = self.parent
+        while node is not None and node.tag != tag:
+            node = node.parent
+        return node is not None
+
     def classes(self) -> list[str]:
         return (self.attrs.get("class") or "").lower().split()
 
@@ -94,8 +121,7 @@ def title_of(root: Node) -> str | None:
     """First heading (a marked or enclosed one before others), else a meta title, else ``title``."""
     for level in ("h1", "h2"):
         found = [n for n in root.walk() if n.tag == level]
-        within = lambda n, tag: n.parent and (n.parent.tag == tag or within(n.parent, tag))
-        for pick in (lambda n: "entry-title" in n.classes(), lambda n: within(n, "article"), lambda n: within(n, "main"), lambda n: True):
+        for pick in (lambda n: "entry-title" in n.classes(), lambda n: n.within("article"), lambda n: n.within("main"), lambda n: True):
             first = next((n for n in found if pick(n)), None)
             if first and (text := first.text()) and text.lower() not in _SKIP_TITLES:
                 return text
@@ -160,12 +186,8 @@ def table_markdown(table: Node) -> str:
     return "\n".join([lines[0], "|" + " --- |" * width, *lines[1:]])
 
 
-def _inline(node, base: str) -> str:
-    if isinstance(node, str):
-        return node
-    if node.tag == "br":
-        return "\n"
-    text = "".join(_inline(c, base) for c in node.children)
+def _marked(node: Node, text: str, base: str) -> str:
+    """The Markdown of an inline element around its text."""
     if node.tag == "a" and node.attrs.get("href") and text.strip():
         try:
             return f"[{' '.join(text.split())}]({urljoin(base or '', node.attrs['href'])})"
@@ -178,7 +200,52 @@ def _inline(node, base: str) -> str:
     return text
 
 
-def _blocks(node: Node, base: str, out: list[str], depth: int = 0) -> None:
+def _inline(node: Node | str, base: str) -> str:
+    """The text of a node with its inline marks; nesting of any depth."""
+    parts: list[str] = []
+    todo: list[tuple[Node | str, int | None]] = [(node, None)]
+    while todo:
+        n, begun = todo.pop()
+        if begun is not None:
+            parts[begun:] = [_marked(n, "".join(parts[begun:]), base)]
+        elif isinstance(n, str):
+            parts.append(n)
+        elif n.tag == "br":
+            parts.append("\n")
+        else:
+            if n.tag in ("a", "b", "strong", "i", "em"):
+                todo.append((n, len(parts)))
+            todo += [(c, None) for c in reversed(n.children)]
+    return "".join(parts)
+
+
+def _list_markdown(node: Node, base: str) -> str:
+    items = (" ".join(_inline(li, base).split()) for li in node.children if isinstance(li, Node) and li.tag == "li")
+    return "\n".join(f"{f'{i}.' if node.tag == 'ol' else '-'} {t}" for i, t in enumerate(filter(None, items), 1))
+
+
+def is_label(text: str) -> bool:
+    """Whether a text is nothing but the label of an article, chapter or section."""
+    return len(text) <= LABEL_CHARS and _LABEL.fullmatch(text) is not None
+
+
+def _block(node: Node, base: str) -> str | None:
+    """The Markdown of a node that is one block, or None if its children are blocks of their own."""
+    if node.tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
+        text = node.text()
+        return "#" * int(node.tag[1]) + " " + text if text else ""
+    if node.tag == "table" and not any(n.tag in ("p", "div", "h1", "h2", "ul", "ol") for n in node.walk()):
+        return table_markdown(node)
+    if node.tag in ("ul", "ol"):
+        return _list_markdown(node, base)
+    if node.tag in ("p", "div") and is_label(text := node.short_text(LABEL_CHARS)):
+        return "### " + text
+    return None
+
+
+def blocks_of(root: Node, base: str) -> list[str]:
+    """The Markdown blocks below a node, in order; nesting of any depth."""
+    out: list[str] = []
     line: list[str] = []
 
     def close():
@@ -187,44 +254,42 @@ def _blocks(node: Node, base: str, out: list[str], depth: int = 0) -> None:
             out.append(re.sub(r"\s*\n\s*", "\n", text))
         line.clear()
 
-    for c in node.children:
-        if isinstance(c, str) or c.tag in _INLINE or c.tag == "br":
-            line.append(_inline(c, base))
-            continue
-        close()
-        short = c.text() if c.tag in ("p", "div") else ""
-        if c.tag == "table":
-            layout = any(n.tag in ("p", "div", "h1", "h2", "ul", "ol") for n in c.walk())
-            if layout and depth < 200:
-                _blocks(c, base, out, depth + 1)
-            else:
-                out.append(table_markdown(c))
-        elif re.fullmatch("h[1-6]", c.tag):
-            if text := c.text():
-                out.append("#" * int(c.tag[1]) + " " + text)
-        elif short and len(short) <= 90 and _ARTICLE.match(short):
-            out.append("### " + short)
-        elif c.tag in ("ul", "ol"):
-            items = [" ".join(_inline(li, base).split()) for li in c.children if isinstance(li, Node) and li.tag == "li"]
-            out.append("\n".join(f"{f'{i}.' if c.tag == 'ol' else '-'} {t}" for i, t in enumerate(filter(None, items), 1)))
-        elif depth < 200:
-            _blocks(c, base, out, depth + 1)
+    todo: list[Node | str | None] = [None, *reversed(root.children)]
+    while todo:
+        n = todo.pop()
+        if n is None:
+            close()
+        elif isinstance(n, str) or n.tag in _INLINE or n.tag == "br":
+            line.append(_inline(n, base))
         else:
-            out.append(c.text())
-    close()
+            close()
+            block = _block(n, base)
+            if block is None:
+                todo += [None, *reversed(n.children)]
+            elif block:
+                out.append(block)
+    return out
+
+
+def tidy_markdown(text: str) -> str:
+    """Line ends and blank lines in order, one line break at the end; empty stays empty."""
+    text = text.replace("\r\n", "\n").replace("\r", "\n").replace("\u00a0", " ")
+    text = "\n".join(line.rstrip() for line in text.split("\n"))
+    text = re.sub(r"\n{3,}", "\n\n", text).strip()
+    return text + "\n" if text else ""
 
 
-def markdown_of(html: str, base: str) -> tuple[str | None, str]:
-    """(title, Markdown): noise removed, headings, lists and tables kept, a first heading added if there is none."""
-    root = parse(html)
-    title = title_of(root)
+def markdown_of(root: Node, base: str, title: str | None = None) -> tuple[str | None, str]:
+    """(title, Markdown) of a parsed page: noise removed (from ``root`` too), headings, lists and tables kept.
+
+    A first heading is added if there is none.
+    """
+    title = title or title_of(root)
     drop_noise(root)
-    out: list[str] = []
-    _blocks(main_content(root), base, out)
-    text = re.sub(r"\n{3,}", "\n\n", "\n\n".join(filter(None, out))).strip()
+    text = tidy_markdown("\n\n".join(blocks_of(main_content(root), base)))
     if title and not text.startswith("#"):
-        text = f"# {title}\n\n{text}".strip()
-    return title, text + "\n" if text else ""
+        text = tidy_markdown(f"# {title}\n\n{text}")
+    return title, text
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
@@ -233,8 +298,9 @@ def parse_pages(pages: DataFrame) -> DataFrame:
         for pdf in batches:
             rows = []
             for key, url, html in zip(pdf["page_id"], pdf["source_url"], pdf["content_html"]):
-                title, text = markdown_of(html or "", url or "")
-                rows.append((key, title, text, links_of(parse(html or ""), url or "")))
+                root = parse(html or "")
+                links = links_of(root, url or "")
+                rows.append((key, *markdown_of(root, url or ""), links))
             yield pd.DataFrame(rows, columns=["page_id", "title", "markdown", "links"])
 
     return pages.select("page_id", "source_url", "content_html").mapInPandas(

@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from qirtas.functions.legal import TOPIC_RULES, rule_pattern
 from qirtas.functions.text import normalize_topic_name, normalize_whitespace
 from qirtas.functions.vectors import cosine, is_valid
+from qirtas.operators.similarity import threshold_pairs
 from qirtas.session import cut
 
 MAX_TOPICS, MIN_CONFIDENCE, CONTENT_CHARS, TITLE_CONFIDENCE = 12, 0.25, 12_000, 0.42
 # Words of titles that are no topics.
 TITLE_STOPWORDS = (
-    "royal decree ministerial decision law laws issuing promulgating regarding amending oman sultanate number no article "
-    "مرسوم سلطاني قرار وزاري قانون إصدار بإصدار تعديل شأن رقم المادة المرسوم اللائحة الإداري الحكومية للدولة للإدارة للأكاديمية السلطاني السلطانية"
-).split()
+    "royal", "decree", "ministerial", "decision", "law", "laws", "issuing", "promulgating", "regarding", "amending", "oman",
+    "sultanate", "number", "no", "article",
+    "مرسوم", "سلطاني", "قرار", "وزاري", "قانون", "إصدار", "بإصدار", "تعديل", "شأن", "رقم", "المادة", "المرسوم", "اللائحة",
+    "الإداري", "الحكومية", "للدولة", "للإدارة", "للأكاديمية", "السلطاني", "السلطانية",
+)
 
 
 def rule_topics(title: Column, content: Column, with_evidence: bool = True) -> Column:
@@ -56,6 +59,11 @@ def extract_topics(documents: DataFrame, key: str, title: str, content: str) ->
         F.transform("rules", lambda r: F.struct(r["name"].alias("name"), r["confidence"].alias("confidence"), F.lit("keyword").alias("source"))),
         F.transform(terms, lambda w: F.struct(w.alias("name"), F.lit(TITLE_CONFIDENCE).alias("confidence"), F.lit("title_term").alias("source"))),
     )).alias("pos", "t")).select(key, "pos", "t.*").withColumn("normalized_name", normalize_topic_name(F.col("name")))
+    return filter_topics(rows, key)
+
+
+def filter_topics(rows: DataFrame, key: str) -> DataFrame:
+    """(key, normalized_name, name, confidence, source) of (..., pos): confident topics, the best of each name, at most ``MAX_TOPICS`` a document."""
     rows = rows.where((F.col("confidence") >= MIN_CONFIDENCE) & (F.col("normalized_name") != ""))
     # The rows of one document are few, so both windows stay small.
     best = Window.partitionBy(key, "normalized_name").orderBy(F.desc("confidence"), "pos")
@@ -90,14 +98,19 @@ def parse_topic_json(raw: Column) -> Column:
     return F.transform(F.filter(first, lambda t: name(t).isNotNull()), lambda t: F.struct(name(t).alias("name"), normalize_topic_name(name(t)).alias("normalized_name"), confidence(t).alias("confidence")))
 
 
-def topic_pairs(topics: DataFrame, threshold: float, block: Column, dims: int = 64) -> DataFrame:
-    """(a, b, similarity) of topics of one block with at least that cosine, a < b.
+def topic_pairs(topics: DataFrame, threshold: float, dims: int = 64) -> DataFrame:
+    """(a, b, similarity): all pairs of topics, a < b, with at least that cosine.
 
-    ``block`` keeps the pairs an equi-join; pass a constant only for small tables.
+    Topics with equal vectors are one class: its least name stands for it in the
+    pairs, and each other member comes once, with that name. Topics without a
+    valid vector have no pairs; repeated rows of a name count once.
     """
-    rows = topics.where(is_valid(F.col("embedding"), dims)).groupBy("normalized_name").agg(F.max("embedding").alias("v"), F.max(block).alias("block"))
-    a, b = rows.select(F.col("normalized_name").alias("a"), F.col("v").alias("va"), "block"), rows.select(F.col("normalized_name").alias("b"), F.col("v").alias("vb"), "block")
-    return a.join(b, "block").where("a < b").withColumn("similarity", cosine(F.col("va"), F.col("vb"))).where(F.col("similarity") >= threshold).select("a", "b", "similarity")
+    one = topics.where(is_valid(F.col("embedding"), dims) & F.col("normalized_name").isNotNull()).groupBy("normalized_name").agg(F.max("embedding").alias("v"))
+    # One vector may be that of any share of the topics: names are ranked by a minimum, not in a window.
+    heads = cut(one.groupBy("v").agg(F.min("normalized_name").alias("head"), F.count("*").alias("n")))
+    members = one.join(heads.where("n > 1"), "v").where("normalized_name <> head")
+    equal = members.select(F.col("head").alias("a"), F.col("normalized_name").alias("b"), F.lit(1.0).alias("similarity"))
+    return threshold_pairs(heads, "head", "v", threshold, dims).unionByName(equal)
 
 
 def groups_of(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -117,12 +130,13 @@ def groups_of(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def merge_plan(groups: DataFrame, topics: DataFrame) -> DataFrame:
-    """(keep, drop, similarity): the shortest name of each group stays, the first on ties."""
+    """(keep, drop, similarity), the most similar first: the shortest name of each group stays, the first on ties."""
     kept = groups.groupBy("root").agg(F.min(F.struct(F.length("name"), F.col("name")))["name"].alias("keep"))
     pairs = groups.join(kept, "root").where("name <> keep").select("keep", F.col("name").alias("drop"))
     vectors = topics.where("embedding is not null").groupBy("normalized_name").agg(F.max("embedding").alias("v"))
     named = lambda n, v: vectors.select(F.col("normalized_name").alias(n), F.col("v").alias(v))
-    return pairs.join(named("keep", "vk"), "keep").join(named("drop", "vd"), "drop").select("keep", "drop", cosine(F.col("vk"), F.col("vd")).alias("similarity"))
+    plan = pairs.join(named("keep", "vk"), "keep").join(named("drop", "vd"), "drop")
+    return plan.select("keep", "drop", cosine(F.col("vk"), F.col("vd")).alias("similarity")).orderBy(F.desc("similarity"), "keep", "drop")
 
 
 def apply_merge(document_topics: DataFrame, plan: DataFrame) -> DataFrame:
@@ -134,6 +148,20 @@ def apply_merge(document_topics: DataFrame, plan: DataFrame) -> DataFrame:
     return best.select("document_id", F.col("name").alias("normalized_name"), (-F.col("b.c")).alias("confidence"))
 
 
+def merged_topics(topics: DataFrame, document_topics: DataFrame, plan: DataFrame) -> DataFrame:
+    """``topics`` (normalized_name, name, ...) after the merge, with ``aliases``.
+
+    A dropped topic that documents are linked to becomes an alias of the kept one
+    and leaves the table; one without documents stays. Aliases come sorted, each once.
+    """
+    linked = document_topics.select(F.col("normalized_name").alias("drop")).distinct()
+    gone = cut(plan.select("keep", "drop").join(linked, "drop", "left_semi"))
+    names = topics.groupBy(F.col("normalized_name").alias("drop")).agg(F.max("name").alias("alias"))
+    aliases = gone.join(names, "drop").groupBy(F.col("keep").alias("normalized_name")).agg(F.array_sort(F.collect_set(F.coalesce("alias", "drop"))).alias("aliases"))
+    left = topics.join(gone.select(F.col("drop").alias("normalized_name")), "normalized_name", "left_anti")
+    return left.join(aliases, "normalized_name", "left").withColumn("aliases", F.coalesce("aliases", F.array().cast("array<string>")))
+
+
 def modularity(edges: DataFrame, communities: DataFrame) -> DataFrame:
     """(modularity, n_communities) of undirected edges (x, y) under (name, community)."""
     named = lambda n, c: communities.select(F.col("name").alias(n), F.col("community").alias(c))
@@ -146,31 +174,76 @@ def modularity(edges: DataFrame, communities: DataFrame) -> DataFrame:
     return each.agg(F.sum(F.coalesce("l", F.lit(0.0)) / F.col("m") - degree * degree).alias("modularity"), F.count("*").alias("n_communities"))
 
 
-def communities(edges: DataFrame, rounds: int = 10) -> DataFrame:
-    """(name, community): local moving by modularity gain, least community on ties.
+def communities(edges: DataFrame, levels: int = 10, least_gain: float = 1e-4) -> DataFrame:
+    """(name, community) of the undirected edges (x, y): moving by modularity gain, level by level.
+
+    Each level moves vertices until none wants to, then every community becomes
+    one vertex of the next. It ends when a level gains less modularity than
+    ``least_gain`` or after ``levels``. The community is named by its least vertex.
+    """
+    graph = cut(_weighted(edges.select("x", "y", F.lit(1.0).alias("w"))))
+    total = graph.agg(F.sum("w")).first()[0]
+    if not total:
+        return edges.select(F.col("x").alias("name"), F.col("x").alias("community")).limit(0)
+    of = cut(graph.select(F.col("x").alias("name"), F.col("x").alias("community")).distinct())
+    before = None
+    for _ in range(levels):
+        moved = _moved(graph, total, least_gain)
+        named = moved.select(F.col("name").alias("community"), F.col("community").alias("upper"))
+        of = cut(of.join(named, "community").select("name", F.col("upper").alias("community")))
+        one, two = moved.select(F.col("name").alias("x"), F.col("community").alias("cx")), moved.select(F.col("name").alias("y"), F.col("community").alias("cy"))
+        graph = cut(graph.join(one, "x").join(two, "y").groupBy(F.col("cx").alias("x"), F.col("cy").alias("y")).agg(F.sum("w").alias("w")))
+        # Inside a community the weight of both directions, less what chance gives.
+        each = graph.groupBy("x").agg(F.sum("w").alias("k"), F.sum(F.when(F.col("x") == F.col("y"), F.col("w")).otherwise(0.0)).alias("l"))
+        now = each.agg(F.sum(F.col("l") / total - (F.col("k") / total) * (F.col("k") / total))).first()[0]
+        if before is not None and now - before < least_gain:
+            break
+        before = now
+    least = of.groupBy("community").agg(F.min("name").alias("least"))
+    return of.join(least, "community").select("name", F.col("least").alias("community"))
+
+
+def _weighted(edges: DataFrame) -> DataFrame:
+    """Both directions of every edge, repeats added up; a loop counts twice."""
+    return edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y"), "w")).where("x is not null and y is not null").groupBy("x", "y").agg(F.sum("w").alias("w"))
+
+
+def _moved(graph: DataFrame, total: float, least_gain: float) -> DataFrame:
+    """(name, community) after moving the vertices of one level until none wants to.
 
     Half of the vertices (by hash, in turn) may move in a round, so that two
-    vertices do not swap for ever.
+    vertices do not swap for ever; least community on ties. Rounds that no longer
+    raise the modularity by ``least_gain`` are the last.
     """
-    both = cut(edges.select("x", "y").unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y"))))
-    total = float(both.count()) or 1.0
-    degree = cut(both.groupBy("x").agg(F.count("*").cast("double").alias("k")))
+    degree = graph.groupBy("x").agg(F.sum("w").alias("k"))
     state = cut(degree.select(F.col("x").alias("name"), F.col("x").alias("community"), "k"))
-    still = 0
-    for turn in range(rounds):
-        weight = state.groupBy("community").agg(F.sum("k").alias("w"))
-        near = both.join(state.select(F.col("name").alias("y"), F.col("community").alias("c")), "y").groupBy(F.col("x").alias("name"), "c").agg(F.count("*").alias("l"))
-        gain = near.join(state, "name").join(weight.select(F.col("community").alias("c"), "w"), "c")
-        held = F.when(F.col("c") == F.col("community"), F.col("w") - F.col("k")).otherwise(F.col("w"))
+    between = graph.where("x <> y")
+    still, turn, best_q = 0, 0, None
+    while still < 2:
+        weight = state.groupBy("community").agg(F.sum("k").alias("held"))
+        near = between.join(state.select(F.col("name").alias("y"), F.col("community").alias("c")), "y").groupBy(F.col("x").alias("name"), "c").agg(F.sum("w").alias("l"))
+        gain = near.join(state, "name").join(weight.select(F.col("community").alias("c"), "held"), "c")
+        held = F.when(F.col("c") == F.col("community"), F.col("held") - F.col("k")).otherwise(F.col("held"))
         gain = gain.withColumn("gain", F.round(F.col("l") - F.col("k") * held / total, 9))
         best = gain.groupBy("name").agg(
             F.min(F.struct((-F.col("gain")).alias("g"), "c")).alias("b"), F.max(F.when(F.col("c") == F.col("community"), F.col("gain"))).alias("own")
         )
         # Staying alone counts as no gain.
-        may = (F.pmod(F.xxhash64("name"), F.lit(2)) == turn % 2) & (-F.col("b.g") > F.greatest(F.coalesce("own", F.lit(0.0)), F.lit(0.0)) + 1e-9)
+        may = (F.pmod(F.xxhash64("name", F.lit(turn // 8)), F.lit(2)) == turn % 2) & (-F.col("b.g") > F.greatest(F.coalesce("own", F.lit(0.0)), F.lit(0.0)) + 1e-9)
         following = cut(state.join(best, "name", "left").select("name", F.when(may, F.col("b.c")).otherwise(F.col("community")).alias("community"), "k", F.coalesce(may, F.lit(False)).alias("moved")))
-        still = still + 1 if following.where("moved").isEmpty() else 0
-        state = following.drop("moved")
-        if still == 2:
-            break
+        n = following.where("moved").count()
+        if n and turn % 4 == 3:
+            q = _quality(graph, following, total)
+            if best_q is not None and q <= best_q + least_gain:
+                break
+            best_q = q
+        state, turn = following.drop("moved"), turn + 1
+        still = 0 if n else still + 1
     return state.select("name", "community")
+
+
+def _quality(graph: DataFrame, state: DataFrame, total: float) -> float:
+    one, two = state.select(F.col("name").alias("x"), F.col("community").alias("cx")), state.select(F.col("name").alias("y"), F.col("community").alias("cy"))
+    inside = graph.join(one, "x").join(two, "y").where("cx = cy").agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
+    held = state.groupBy("community").agg(F.sum("k").alias("k")).agg(F.sum(F.col("k") * F.col("k"))).first()[0]
+    return inside / total - held / total**2

@@ -75,6 +75,43 @@ def read_raw_pages(spark: SparkSession, directory: str) -> DataFrame:
     return files.select("path", "length", "modificationTime", F.sha2("content", 256).alias("sha256"), kind.alias("kind"), "content")
 
 
+def is_html(content_type: Column) -> Column:
+    c = F.lower(F.coalesce(content_type, F.lit("")))
+    return c.contains("text/html") | c.contains("application/xhtml+xml")
+
+
+def is_pdf(content_type: Column, url: Column, pdf_host: Column | None = None) -> Column:
+    """By content type, by the address's end, or by a host that has nothing else."""
+    found = F.lower(F.coalesce(content_type, F.lit(""))).contains("application/pdf") | F.lower(url).endswith(".pdf")
+    return found if pdf_host is None else found | pdf_host
+
+
+def raw_extension(content_type: Column, url: Column) -> Column:
+    json = F.lower(F.coalesce(content_type, F.lit(""))).contains("json")
+    return F.when(is_pdf(content_type, url), ".pdf").when(is_html(content_type), ".html").when(json, ".json").otherwise(".bin")
+
+
+def write_raw_pages(fetched: DataFrame, path: str) -> DataFrame:
+    """Fetched pages (url, status, content_type, headers, body) stored with their hash, size and name, private headers left out.
+
+    One table takes the place of a file and its sidecar per page: a few large files instead of many small ones.
+    """
+    from qirtas.functions.urls import raw_file_stem
+
+    rows = fetched.select(
+        "url", "status", "content_type", public_headers(F.col("headers")).alias("headers"), F.sha2("body", 256).alias("sha256"),
+        F.length("body").cast("long").alias("n_bytes"), F.concat(raw_file_stem(F.col("url")), raw_extension(F.col("content_type"), F.col("url"))).alias("name"),
+        F.when(is_pdf(F.col("content_type"), F.col("url")), "pdf").when(is_html(F.col("content_type")), "html").otherwise("other").alias("kind"), "body",
+    )
+    rows.write.mode("append").partitionBy("kind").parquet(path)
+    return rows.drop("body")
+
+
+def write_documents(df: DataFrame, path: str) -> None:
+    """One JSON object per document and line, for other programs."""
+    df.write.mode("overwrite").json(path)
+
+
 def public_headers(headers: Column) -> Column:
     return F.map_filter(headers, lambda k, v: ~F.lower(k).isin(*PRIVATE_HEADERS))
 

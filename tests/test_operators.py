@@ -4,13 +4,16 @@ import datetime as dt
 import json
 import random
 
+import numpy as np
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from qirtas.functions.bloom import BloomFilter, key_hash
-from qirtas.operators import chunking, graph, html, references, retrieval, topics
+from qirtas.operators import chunking, graph, html, references, retrieval, similarity, topics
 from qirtas.sources import documents as sources
-from qirtas.streaming.ingest import ingest_stream, latest_version
+from qirtas.streaming.ingest import ingest_stream, latest_version, merge_batch
 
 T0 = dt.datetime(2020, 1, 1)
 
@@ -135,15 +138,77 @@ def test_windows_native_and_plain_agree(spark):
     for n in (0, 1, 9, 10, 11, 25):
         words = [str(i) for i in range(n)]
         got = spark.createDataFrame([(words,)], "t array<string>").select(chunking.token_windows(F.col("t"), 10, 3)).first()[0]
-        assert got == chunking.windows(words, 10, 3)
+        assert got == [words[i : i + 10] for i in chunking.window_starts(n, 10, 3)]
 
 
 def test_markdown():
     page = "<html><title>T</title><body><nav><a href='/x'>Menu</a></nav><article><h1>Law</h1><p>Article 1</p><P>Text <a href='/y'>link</a><table><tr><th>A|B<th>C<tr><td colspan=2>d</table></article><footer>f</footer></body>"
-    title, text = html.markdown_of(page, "https://law.example/p/")
+    title, text = html.markdown_of(html.parse(page), "https://law.example/p/")
     assert title == "Law" and "### Article 1" in text and "[link](https://law.example/y)" in text
     assert "| A\\|B | C |\n| --- | --- |\n| d |  |" in text and "Menu" not in text
-    assert html.markdown_of("", "") == (None, "") and html.markdown_of("<div>" * 3000 + "deep", "")[1]
+    assert html.markdown_of(html.parse(""), "") == (None, "")
+
+
+def test_deep_html_keeps_its_structure():
+    deep = "<div>" * 3000 + "<h1>Top</h1>" + "<b>" * 3000 + "bold" + "</b>" * 3000 + "<table><tr><td>a</table>"
+    title, text = html.markdown_of(html.parse(deep), "")
+    assert title == "Top" and "# Top" in text and "bold" in text and "| a |" in text
+
+
+def test_only_whole_labels_become_headings():
+    blocks = lambda t: html.blocks_of(html.parse(f"<p>{t}</p>"), "")
+    for label in ("Article 5", "Section 5", "CHAPTER two", "المادة الأولى", "الباب الثاني"):
+        assert blocks(label) == ["### " + label]
+    for text in ("Section 5 shall not apply to licensed banks.", "Article", "See Article 5", "المادة الأولى من القانون"):
+        assert blocks(text) == [text]
+
+
+def folded(sizes, room, overlap):
+    """``chunking.fill`` item by item."""
+    out, start, held, carried = [], 0, 0, 0
+    for i, n in enumerate(sizes):
+        if i > start and held + n > room:
+            out.append((start, i, carried))
+            lent = min(overlap, held)
+            carried = lent if lent + n <= room else 0
+            start, held = i, carried
+        held += n
+    return [*out, (start, len(sizes), carried)] if sizes else []
+
+
+@given(st.lists(st.integers(1, 30), max_size=40), st.integers(30, 60), st.integers(0, 25))
+def test_fill_against_a_fold(sizes, room, overlap):
+    assert chunking.fill(sizes, room, overlap) == folded(sizes, room, overlap)
+
+
+@given(st.lists(st.sampled_from(["# A", "## B", "### C", "", "one two three.", "word " * 40, "| t |", "ن ص"]), max_size=25))
+def test_chunks_quote_every_token_in_order(lines):
+    text, limits = "\n".join(lines), chunking.Limits(5, 30, 0)
+    quoted = []
+    for chunk, context in chunking.chunks_of(text, limits):
+        head = chunking.head_line(tuple(context))
+        assert chunking.count(chunk) <= max(limits.most, chunking.LEAST_ROOM + chunking.count(head))
+        quoted += [w for line in chunk.split("\n") if not line.startswith("Context: ") for w in chunking.TOKEN.findall(line)]
+    assert quoted == chunking.TOKEN.findall(text)
+
+
+def test_similar_pairs_against_all_pairs(spark, monkeypatch):
+    """Few pivots, small cells and a hot vector lose no pair."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(12, 16))
+    x = centres[rng.integers(0, 12, 400)] + 0.35 * rng.normal(size=(400, 16))
+    x[:60] = x[0]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = [(f"t{i:03d}", [float(v) for v in x[i]]) for i in range(400)] + [("bad", None), ("zero", [0.0] * 16), (None, [1.0] * 16), ("t000", [float(v) for v in x[0]])]
+    df = spark.createDataFrame(rows, "normalized_name string, embedding array<double>")
+    s = x[60:] @ x[60:].T
+    want = {(f"t{i + 60:03d}", f"t{j + 60:03d}") for i, j in zip(*np.nonzero(s >= 0.8)) if i < j} | {("t000", f"t{j + 60:03d}") for j in np.flatnonzero(x[60:] @ x[0] >= 0.8)} | {("t000", f"t{i:03d}") for i in range(1, 60)}
+    for pivots, cell in ((2048, 20_000), (3, 40)):
+        monkeypatch.setattr(similarity, "MAX_PIVOTS", pivots)
+        monkeypatch.setattr(similarity, "CELL_ROWS", cell)
+        got = [(r.a, r.b) for r in topics.topic_pairs(df, 0.8, 16).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    assert topics.topic_pairs(df.limit(0), 0.8, 16).count() == 0
 
 
 def test_json_source_and_quarantine(spark, tmp_path):
@@ -155,6 +220,17 @@ def test_json_source_and_quarantine(spark, tmp_path):
     assert sorted(len(r.errors) for r in bad.collect()) == [3, 3]
 
 
+def test_first_batch_is_an_upsert_too(spark, tmp_path):
+    rows = [("a", "x", "1", "1"), ("a", None, "2", "2"), (None, "n", "1", "1"), ("b", "z", "1", "1"), ("b", "z", "1", "1")]
+    batch = spark.createDataFrame(rows, "id string, title string, created_at string, updated_at string")
+    for number in (0, 0):  # a batch that is run again
+        merge_batch(spark, str(tmp_path / "t"), batch, number)
+    assert sorted((r.id, r.title, r.updated_at) for r in latest_version(spark, str(tmp_path / "t")).collect()) == [("a", "x", "2"), ("b", "z", "1")]
+    merge_batch(spark, str(tmp_path / "t"), batch.where("id = 'b'").limit(1).withColumn("title", F.lit("new")), 1)
+    assert sorted((r.id, r.title) for r in latest_version(spark, str(tmp_path / "t")).collect()) == [("a", "x"), ("b", "new")]
+    assert len(list((tmp_path / "t" / "version=1").glob("bucket=*"))) == 1
+
+
 def test_streaming_upsert(spark, tmp_path):
     source, target, check = (str(tmp_path / n) for n in ("in", "out", "check"))
     (tmp_path / "in").mkdir()
@@ -162,4 +238,4 @@ def test_streaming_upsert(spark, tmp_path):
     for n, row in enumerate([{"id": "a", "title": "x", "created_at": "1", "updated_at": "1"}, {"id": "a", "title": "y", "created_at": "2", "updated_at": "2"}]):
         (tmp_path / "in" / f"{n}.json").write_text(json.dumps(row))
         ingest_stream(spark, source, schema, target, check).awaitTermination(60)
-    assert [(r.id, r.title, r.created_at) for r in latest_version(spark, target).collect()] == [("a", "y", "1")]
+    assert [(r.id, r.title, r.created_at) for r in latest_version(spark, target).select("id", "title", "created_at").collect()] == [("a", "y", "1")]
