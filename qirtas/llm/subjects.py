@@ -24,8 +24,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import Broadcast, StorageLevel
-from pyspark.ml.fpm import FPGrowth
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -157,6 +156,23 @@ class RuleSet:
             a for p in phrases(found) for size in self.sizes if size <= len(p) for a in combinations(p, size) if a in self.rules
         ))
 
+    def subjects(self) -> list[str]:
+        """The subject of each rule, by the rule's number."""
+        if "_subjects" not in self.__dict__:
+            self._subjects = [s for s, _ in self.rules.values()]
+            self._number = {a: i for i, a in enumerate(self.rules)}
+        return self._subjects
+
+    def numbered(self, statement: Statement) -> tuple[str | None, tuple[int, ...], tuple[int, ...]]:
+        """(the statement's clear subject, the rules with that subject whose words stand in it, the other ones)."""
+        def make(found):
+            of = self.subjects()
+            subject = next((s for s, e in weighed(self.hits(found)).items() if e >= CLEAR), None)
+            inside = {self._number[a] for p in phrases(found) for size in self.sizes if size <= len(p) for a in combinations(p, size) if a in self.rules}
+            return subject, tuple(i for i in inside if of[i] == subject), tuple(i for i in inside if of[i] != subject)
+
+        return self._kept("numbered", statement, make)
+
     def hits(self, found: tuple[tuple[str, ...], ...]) -> dict[tuple[str, ...], tuple[str, float]]:
         """Word set -> (subject, log odds) of the rules that the phrases of ``runs`` match, each once."""
         return {hit[0]: hit[1:] for p in phrases(found) if (hit := self.match(p))}
@@ -183,7 +199,7 @@ class RuleSet:
         return [(s, e) for s, e in self.strongest(parts).items() if e >= self.thresholds.get(s, 0.0)]
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_memo"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_memo", "_subjects", "_number")}
 
 
 def weighed(hits: dict[tuple[str, ...], tuple[str, float]]) -> dict[str, float]:
@@ -379,23 +395,81 @@ def mine(source: DataFrame, read: Callable, telling: set[str], prior: dict[str,
             for q in {q for part in parts for q in phrases(runs(part.split(" ") if isinstance(part, str) else part, telling))}:
                 yield q + marks, n
 
-    # Equal baskets of a task are kept once, with their number.
-    packed = cut(_counted(source, baskets))
-    size = packed.agg(F.sum("n")).first()[0]
-    if not size:
+    # Equal baskets are kept once, with their number.
+    counted = cut(_counted(source, baskets).groupBy("w").agg(F.sum("n").alias("n")))
+    found = frequent_sets(counted, MIN_SUPPORT)
+    if found is None:
         return RuleSet({})
-    items = packed.select(F.col("w").alias("items"), F.explode(F.sequence(F.lit(1), "n"))).select("items").persist(StorageLevel.MEMORY_ONLY)
-    # Half a phrase less, as the product with the size is rounded up again.
-    found = FPGrowth(itemsCol="items", minSupport=(MIN_SUPPORT - 0.5) / size, minConfidence=1.0).fit(items).freqItemsets
     subjects = F.filter("items", lambda x: x.startswith("="))
     words = F.array_sort(F.filter("items", lambda x: ~x.startswith("=")))
     split = cut(found.select(words.alias("words"), subjects.alias("s"), "freq").where("size(words) > 0 and size(s) <= 1"))
-    items.unpersist()
     alone = split.where("size(s) = 0").select("words", F.col("freq").alias("n"))
     joint = split.where("size(s) = 1").select("words", F.col("s")[0].alias("s"), F.col("freq").alias("k"))
     return RuleSet(prune(best_subjects(joint.join(alone, "words").toPandas(), prior), prior))
 
 
+def grown(base: dict[tuple[int, ...], int], least: int, suffix: tuple[int, ...], wanted: Callable[[int], bool]):
+    """(items, frequency) of the frequent sets that end in ``suffix``, by growth over a conditional pattern base.
+
+    ``base`` has the prefixes of the transactions with the suffix, frequent items first, with their number.
+    """
+    held: dict[int, dict[tuple[int, ...], int]] = {}
+    total: Counter = Counter()
+    for prefix, n in base.items():
+        for j, item in enumerate(prefix):
+            if wanted(item):
+                total[item] += n
+                under = held.setdefault(item, {})
+                under[prefix[:j]] = under.get(prefix[:j], 0) + n
+    for item, n in total.items():
+        if n >= least:
+            yield (item, *suffix), n
+            yield from grown(held[item], least, (item, *suffix), lambda _: True)
+
+
+def frequent_sets(baskets: DataFrame, least: int) -> DataFrame | None:
+    """(items, freq) of the sets that are in ``least`` or more of ``baskets`` (w, n), by parallel frequent-pattern growth.
+
+    Items are ordered by frequency and divided into groups; a basket is sent once to
+    each group it has items of, cut after the last of them, and each group grows its
+    own sets. Baskets carry their number, so what repeats is neither sent nor grown again. None if no item is frequent.
+    """
+    spark = baskets.sparkSession
+    items = baskets.select(F.explode(F.array_distinct("w")).alias("item"), "n").groupBy("item").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas()
+    if not len(items):
+        return None
+    names = items.sort_values(["n", "item"], ascending=[False, True])["item"].tolist()
+    shared = spark.sparkContext.broadcast({w: i for i, w in enumerate(names)})
+    groups = 8 * spark.sparkContext.defaultParallelism
+
+    def send(batches):
+        rank = shared.value
+        for b in batches:
+            at, prefixes, number = [], [], []
+            for w, n in zip(b.column("w").to_pylist(), b.column("n").to_pylist()):
+                order = sorted({rank[x] for x in w if x in rank})
+                sent = set()
+                for j in range(len(order) - 1, -1, -1):
+                    if (g := order[j] % groups) not in sent:
+                        sent.add(g)
+                        at.append(g)
+                        prefixes.append(order[: j + 1])
+                        number.append(n)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(prefixes, pa.list_(pa.int32())), pa.array(number, pa.int64())], ["g", "prefix", "n"])
+
+    def grow(group: pa.Table) -> pa.Table:
+        g = group.column("g")[0].as_py()
+        base: dict[tuple[int, ...], int] = {}
+        for prefix, n in zip(group.column("prefix").to_pylist(), group.column("n").to_pylist()):
+            base[tuple(prefix)] = base.get(tuple(prefix), 0) + n
+        names = {i: w for w, i in shared.value.items()}
+        found = list(grown(base, least, (), lambda item: item % groups == g))
+        return pa.table({"items": pa.array([[names[i] for i in a] for a, _ in found], pa.list_(pa.string())), "freq": pa.array([n for _, n in found], pa.int64())})
+
+    routed = baskets.mapInArrow(send, "g int, prefix array<int>, n long")
+    return routed.groupBy("g").applyInArrow(grow, "items array<string>, freq long")
+
+
 def fit_rules(packed: DataFrame, fit: DataFrame) -> tuple[RuleSet, DataFrame]:
     """(rules, the packed statements to score with them): rules from the labels, extended and sharpened on the statements of all documents.
 
@@ -419,28 +493,30 @@ def fit_rules(packed: DataFrame, fit: DataFrame) -> tuple[RuleSet, DataFrame]:
     return borne_out(mine(lines, own_lines(shared, True), *found), short, fit, found[1]), short
 
 
-def standing(parts: list[Statement], rules: RuleSet) -> dict[tuple[str, ...], bool]:
-    """The rules whose words stand in a document, with whether the rest of it has their subject too.
+def standing(parts: list[Statement], rules: RuleSet) -> dict[int, bool]:
+    """The (numbers of) rules whose words stand in a document, with whether the rest of it has their subject too.
 
     The rest are the statements without these words, so that a sentence that is
     repeated doesn't confirm its copy. A rest without any subject says nothing; the rule is left out there.
     """
-    # Of all statements, and of those with each rule, how many have each subject; one has at most one.
+    # Of all statements, and of those with each rule, how many have a subject, and how many the rule's.
     whole: dict[str, int] = {}
-    beside: dict[tuple[tuple[str, ...], str | None], int] = {}
+    held: dict[int, int] = {}
+    same: dict[int, int] = {}
+    total = 0
     for part in parts:
-        subject = (rules.clear(part) or (None,))[0]
+        subject, alike, others = rules.numbered(part)
         if subject is not None:
+            total += 1
             whole[subject] = whole.get(subject, 0) + 1
-        for a in rules.contained(part):
-            key = a, subject
-            beside[key] = beside.get(key, 0) + 1
-    total, held, same = sum(whole.values()), {}, {}
-    for (a, subject), n in beside.items():
-        held[a] = held.get(a, 0) + (n if subject is not None else 0)
-        if subject == rules.rules[a][0]:
-            same[a] = n
-    return {a: whole.get(rules.rules[a][0], 0) > same.get(a, 0) for a, n in held.items() if total > n}
+        some = subject is not None
+        for i in alike:
+            held[i] = held.get(i, 0) + 1
+            same[i] = same.get(i, 0) + 1
+        for i in others:
+            held[i] = held.get(i, 0) + some
+    of = rules.subjects()
+    return {i: whole.get(of[i], 0) > same.get(i, 0) for i, n in held.items() if total > n}
 
 
 def borne_out(rules: RuleSet, packed: DataFrame | None, fit: DataFrame, prior: dict[str, float]) -> RuleSet:
@@ -457,10 +533,10 @@ def borne_out(rules: RuleSet, packed: DataFrame | None, fit: DataFrame, prior: d
     schema = "rule long, hit boolean, n long"
 
     def rest(batches):
-        rules, number = shared.value
+        rules, _ = shared.value
         held: Counter = Counter()
         for _, parts in unpacked(batches, split=False):
-            held.update((number[a], hit) for a, hit in standing(parts, rules).items())
+            held.update(standing(parts, rules).items())
         yield pa.RecordBatch.from_pydict({"rule": [i for i, _ in held], "hit": [h for _, h in held], "n": list(held.values())}, pa.schema([("rule", pa.int64()), ("hit", pa.bool_()), ("n", pa.int64())]))
 
     def labelled(batches):
