@@ -80,7 +80,8 @@ def pack(pieces: DataFrame, key: str, capacity: int) -> DataFrame:
     the capacity. Ranks are taken per (length, bucket) with the buckets' offsets
     added, so a length that a third of all items share is ranked by many tasks.
     """
-    bucket = F.pmod(F.xxhash64(key, "piece"), F.lit(RANK_BUCKETS)).cast("int")
+    # The row's own number is hashed too, so a key that is null or repeated a million times is spread; the cut keeps the choice.
+    bucket = F.pmod(F.xxhash64(key, "piece", F.monotonically_increasing_id()), F.lit(RANK_BUCKETS)).cast("int")
     pieces = cut(pieces.withColumn("bucket", bucket))
     sizes = pieces.groupBy("length", "bucket").agg(F.count("*").alias("n")).toPandas().sort_values(["length", "bucket"])
     histogram = sizes.groupby("length")["n"].sum().to_dict()

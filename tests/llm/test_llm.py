@@ -41,6 +41,12 @@ def test_components(spark, kind):
     assert got == union_find(pairs)
 
 
+def test_components_keep_names_alone_and_hot_ones(spark):
+    pairs = [("hub", f"x{i:03d}") for i in range(300)] + [("self", "self"), ("self", "self"), ("hub", "hub"), ("p", "q"), (None, "p"), ("lone", None)]
+    got = {r.vertex: r.root for r in components.connected_components(spark.createDataFrame(pairs, "a string, b string"), "a", "b").collect()}
+    assert got == {**{f"x{i:03d}": "hub" for i in range(300)}, "hub": "hub", "self": "self", "p": "p", "q": "p"}
+
+
 def test_topic_groups_normalise_and_ignore_empty(spark):
     rows = [("Tax  Law", "tax law", None), ("b!", "TAX law", 0.1), ("!!", "x", 0.9), (None, "x", 0.9)]
     df = spark.createDataFrame(rows, "keep_normalized_name string, drop_normalized_name string, root double")
@@ -390,6 +396,20 @@ def test_subjects_learn_from_all_documents(spark):
     assert {(i, "sea") for i in ids[-10:]} <= got and not any(s != "sea" for i, s in got if i in ids[-50:])
 
 
+def test_frequent_sets_against_all_subsets(spark):
+    rng = random.Random(9)
+    baskets = [(rng.sample("abcdefg", rng.randint(1, 5)), rng.randint(1, 4)) for _ in range(60)]
+    want: dict = {}
+    for w, n in baskets:
+        for size in range(1, len(w) + 1):
+            for a in itertools.combinations(sorted(w), size):
+                want[a] = want.get(a, 0) + n
+    df = spark.createDataFrame(baskets, "w array<string>, n long")
+    got = [(tuple(sorted(r["items"])), r["freq"]) for r in subjects.frequent_sets(df, 5).collect()]
+    assert len(got) == len(dict(got)) and dict(got) == {a: n for a, n in want.items() if n >= 5}
+    assert subjects.frequent_sets(df, 10_000) is None and subjects.frequent_sets(df.limit(0), 1) is None
+
+
 def test_formulas_are_no_rules(spark):
     """Closing formulas of two languages, each often in documents of one skewed subject, predict none."""
     rng = random.Random(4)
