@@ -28,8 +28,6 @@ AGAIN = 1.5
 SURE_SHARE = 0.8
 #: The form that a misread word stands for is at least so many times as frequent.
 TIMES, LEAST = 6, 5
-#: Forms of a skeleton that are considered for a word.
-FORMS = 3
 
 _LETTER = r"\x{621}-\x{63A}\x{641}-\x{64A}"
 _EDGE_OPEN, _EDGE_CLOSE = r"^[«»\"'(\[{“”]+", r"[)\]}.,،؛;:؟!»\"'“”/…\-–—\x{2010}\x{2011}\x{AD}\x{AC}\x{640}]+$"
@@ -167,29 +165,34 @@ def misread_words(docs: DataFrame, tokens: DataFrame) -> DataFrame:
     foreign = F.col("raw").rlike(rf"[{_LETTER}]") & F.regexp_replace(clean_word(F.col("raw")), rf"[{_LETTER}]", "").rlike(r"[^/\-–.,،؛;:()؟!]")
     strange = tokens.where(foreign).select("document_id", "line_no", "pos", clean_word(F.col("raw")).alias("w"))
 
-    own = cut(_words(tokens))
-    plain = (
-        docs.where(~F.col("scanned")).select("document_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        .select("document_id", "line_no", F.posexplode(_tokens(F.col("line"))).alias("pos", "raw"))
-        .select("document_id", "line_no", "pos", clean_word(F.col("raw")).alias("w")).where("w <> ''")
+    # One row per document with its words in order: neighbours are found inside the row, and only
+    # counts and doubtful words leave it.
+    masked = lambda w: F.when(w.rlike(r"[0-9٠-٩]"), "#").otherwise(w)
+    own = _words(tokens)
+    ordered = F.array_sort(F.collect_list(F.struct("line_no", "pos", "w", "head", "next_line")))
+    of_scans = own.groupBy("document_id").agg(ordered.alias("ws")).withColumn("scanned", F.lit(True))
+    nothing = F.lit(None).cast("int")
+    clean = F.filter(F.transform(_tokens(F.col("text")), clean_word), lambda w: w != "")
+    plain = docs.where(~F.col("scanned")).select(
+        "document_id", F.transform(clean, lambda w: F.struct(nothing.alias("line_no"), nothing.alias("pos"), w.alias("w"), nothing.alias("head"), nothing.alias("next_line"))).alias("ws"), F.lit(False).alias("scanned"),
     )
-    every = own.select("document_id", "line_no", "pos", "w").unionByName(plain)
-    masked = F.when(F.col("w").rlike(r"[0-9٠-٩]"), "#").otherwise(F.col("w"))
-    order = Window.partitionBy("document_id").orderBy("line_no", "pos")
-    every = every.withColumn("v", masked).withColumn("before", F.lag("v").over(order)).withColumn("after", F.lead("v").over(order))
+    every = of_scans.unionByName(plain).withColumn("vs", F.transform("ws", lambda x: masked(x["w"])))
     every = cut(every)
-    counts = every.where("v <> '#'").groupBy("v").agg(F.count("*").alias("n")).where(F.col("v").rlike(rf"^[{_LETTER}]{{2,}}$"))
+    counts = every.select(F.explode("vs").alias("v")).where("v <> '#'").groupBy("v").agg(F.count("*").alias("n")).where(F.col("v").rlike(rf"^[{_LETTER}]{{2,}}$"))
     counts = cut(counts.withColumn("bones", skeleton(F.col("v"))))
-    forms = counts.withColumn("rank", F.row_number().over(Window.partitionBy("bones").orderBy(F.desc("n"), "v")))
-    forms = forms.where((F.col("rank") <= FORMS) & (F.col("n") >= LEAST)).select("bones", F.col("v").alias("form"), F.col("n").alias("n_form"))
+    # Every form of the group that is frequent enough is tried; the condition bounds them.
+    forms = counts.where(F.col("n") >= LEAST).select("bones", F.col("v").alias("form"), F.col("n").alias("n_form"))
     doubtful = counts.join(forms, "bones").where((F.col("form") != F.col("v")) & (F.col("n_form") >= TIMES * F.col("n"))).select("v", "form", "n", "n_form")
     doubtful = cut(doubtful)
 
-    pairs = every.where("after is not null").groupBy(F.col("v").alias("x"), F.col("after").alias("y")).agg(F.count("*").alias("k"))
+    following = F.zip_with(F.slice("vs", F.lit(1), F.size("vs") - 1), F.slice("vs", F.lit(2), F.size("vs") - 1), lambda a, b: F.struct(a.alias("x"), b.alias("y")))
+    beside = every.where(F.size("vs") > 1).select(F.explode(following).alias("p"))
+    pairs = beside.groupBy(F.col("p.x").alias("x"), F.col("p.y").alias("y")).agg(F.count("*").alias("k"))
     about = doubtful.select(F.col("v").alias("u")).unionByName(doubtful.select(F.col("form").alias("u"))).distinct()
+    pairs = cut(pairs)
     pairs = cut(pairs.join(about, F.col("x") == F.col("u"), "left_semi").unionByName(pairs.join(about, F.col("y") == F.col("u"), "left_semi")).distinct())
-    scans = docs.where("scanned").select("document_id")
-    cases = every.join(doubtful, "v").join(scans, "document_id", "left_semi")
+    around = F.transform("ws", lambda x, i: F.struct(x["line_no"].alias("line_no"), x["pos"].alias("pos"), x["w"].alias("w"), F.get("vs", i).alias("v"), F.get("vs", i - 1).alias("before"), F.get("vs", i + 1).alias("after")))
+    cases = every.where("scanned").select("document_id", F.explode(around).alias("c")).select("document_id", "c.*").join(doubtful, "v")
 
     def support(cases: DataFrame, left: str, right: str, name: str) -> DataFrame:
         found = pairs.select(F.col("x").alias(left), F.col("y").alias(right), F.col("k").alias(name))
@@ -199,7 +202,8 @@ def misread_words(docs: DataFrame, tokens: DataFrame) -> DataFrame:
         cases = support(cases, left, right, name)
     better = (F.col("f1") + F.col("f2")) > 2 * (F.col("c1") + F.col("c2"))
     chosen = cases.where(better).groupBy("document_id", "line_no", "pos", "w").agg(F.max(F.struct(F.col("f1") + F.col("f2"), "n_form", "form"))["form"].alias("form"))
-    placed = own.join(chosen, ["document_id", "line_no", "pos", "w"])
+    words = every.where("scanned").select("document_id", F.explode("ws").alias("c")).select("document_id", "c.*")
+    placed = words.join(chosen, ["document_id", "line_no", "pos", "w"])
     # In a broken word the line with the first letter that differs has the defect.
     at = F.array_position(F.zip_with(F.split("w", ""), F.split("form", ""), lambda a, b: a.eqNullSafe(b)), False)
     line = F.when(F.col("next_line").isNotNull() & (at > F.col("head")), F.col("next_line")).otherwise(F.col("line_no"))
