@@ -219,6 +219,24 @@ def chunk_documents(texts: DataFrame, limits: Limits = Limits()) -> DataFrame:
     return texts.select("document_id", "language", "text").where("text is not null").mapInPandas(pack, SCHEMA)
 
 
+def section_rows(texts: DataFrame) -> DataFrame:
+    """(document_id, language, section_no, title, depth, n_tokens) of the sections of (document_id, language, text) that hold tokens.
+
+    The part before the first heading has no title and depth 0.
+    """
+    schema = "document_id string, language string, section_no int, title string, depth int, n_tokens int"
+
+    def read(batches):
+        for pdf in batches:
+            rows = [
+                (key, language, i, s.path[-1] if s.path else None, len(s.path), s.last - s.first)
+                for key, language, text in zip(pdf["document_id"], pdf["language"], pdf["text"]) for i, s in enumerate(Layout(text).sections)
+            ]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
+
+    return texts.select("document_id", "language", "text").where("text is not null").mapInPandas(read, schema)
+
+
 def token_windows(tokens: Column, size: int, overlap: int) -> Column:
     """The same windows as a native expression over an array of tokens."""
     step = max(1, size - overlap)

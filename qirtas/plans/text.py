@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from qirtas.functions import identity, legal, text, urls
 from qirtas.functions.vectors import hash_embeddings
-from qirtas.operators.chunking import Limits, chunk_documents, token_windows
+from qirtas.operators.chunking import Limits, chunk_documents, section_rows, token_windows
 from qirtas.operators.retrieval import document_label, keyword_terms, STOPWORDS
 from qirtas.plans import sqltext as sql
 from qirtas.session import table
@@ -153,6 +153,12 @@ def q_chunk_documents(spark, d):
     return chunk_documents(c.withColumnRenamed("id", "document_id"), Limits(100, 300, 40))
 
 
+def q_sections(spark, d):
+    """The sections that chunks are packed of, with their sizes."""
+    c = sources.contents_by_language(legal_docs(spark, d)).groupBy("id", "language").agg(F.max("text").alias("text"))
+    return section_rows(c.withColumnRenamed("id", "document_id")).select("document_id", "language", F.col("section_no").cast("long").alias("section_no"), "title", F.col("n_tokens").cast("long").alias("n_tokens"))
+
+
 QUERIES = {name: f for name, f in globals().items() if name.startswith("q_")}
 _STOP = ", ".join(f"'{w}'" for w in STOPWORDS)
 ORACLES = {
@@ -183,6 +189,13 @@ SELECT DISTINCT ref_id, CASE WHEN regexp_matches(raw_text, '{legal.AMEND_PATTERN
 SELECT DISTINCT id, source_url, concat_ws(', ', CASE WHEN coalesce({sql.strip('title')}, '') = '' THEN 'title is empty' END,
   CASE WHEN NOT coalesce(regexp_matches({sql.strip('source_url')}, '^(?i:https?)://[^/?#]+'), FALSE) THEN 'source_url is not an absolute http(s) URL' END,
   CASE WHEN coalesce(language NOT IN ('ar', 'en', 'fr', 'unknown'), TRUE) THEN 'language is unknown' END) AS errors FROM legal_documents""",
+    "q_sections": f"""
+WITH t AS (SELECT id, language, max(text) AS text FROM (SELECT id, 'ar' AS language, contentAr AS text FROM legal_documents UNION ALL SELECT id, 'en', contentEn FROM legal_documents UNION ALL SELECT id, 'fr', contentFr FROM legal_documents) WHERE {sql.strip('text')} <> '' GROUP BY id, language),
+l AS (SELECT id, language, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM (SELECT id, language, regexp_split_to_array(text, '[\\n\\r\\f\\v\\x1c-\\x1e\\x{{85}}\\x{{2028}}\\x{{2029}}]') AS ls FROM t)),
+h AS (SELECT *, regexp_matches(l, '^\\s*#{{1,6}}\\s+\\S') AS head FROM l),
+s AS (SELECT *, sum(head::INT) OVER (PARTITION BY id, language ORDER BY i) AS section FROM h),
+g AS (SELECT id, language, section, max(CASE WHEN head THEN {sql.strip("regexp_replace(l, '^[[:space:]]*#+', '')")} END) AS title, sum({sql.token_count('l')})::BIGINT AS n_tokens FROM s GROUP BY id, language, section)
+SELECT id AS document_id, language, row_number() OVER (PARTITION BY id, language ORDER BY section) - 1 AS section_no, title, n_tokens FROM g WHERE n_tokens > 0""",
     "q_hash_embedding": f"""
 WITH w AS (SELECT doc_id, unnest(CASE WHEN len(ws) > 0 THEN ws ELSE [coalesce(nullif(t, ''), 'empty')] END) AS w
            FROM (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(lower(coalesce(text, '')), '[{text.WORD}]+') AS ws FROM documents)),

@@ -33,13 +33,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder.
 
-    The folder is the cluster's ``spark.checkpoint.dir``. Only where that is
-    unset (tests, a single machine) a temporary one is made.
+    The folder is the cluster's ``spark.checkpoint.dir``. Only a local session
+    (tests, a single machine) gets a temporary one where that is unset; on a cluster it is an error,
+    as a machine's own folder would not survive that machine.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="qirtas-ckpt-")
-        )
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="qirtas-ckpt-"))
     return df.checkpoint(eager=eager)
