@@ -63,17 +63,27 @@ class Engine:
 
     # Tables -----------------------------------------------------------------
 
-    def _path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+    def _folder(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def _exists(self, name: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(name))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+    def _versions(self, name: str) -> list[int]:
+        """The complete versions of a table. A write makes a new one, so whoever reads the one before still can."""
+        fs, path = self._folder(f"{self.root}/{name}/v*/_SUCCESS")
+        return sorted(int(s.getPath().getParent().getName()[1:]) for s in fs.globStatus(path) or [])
+
+    def vacuum(self, keep: int = 1) -> None:
+        """Delete all versions of every table but the last ``keep``."""
+        for name in SCHEMAS:
+            for version in self._versions(name)[: -max(1, keep)]:
+                fs, path = self._folder(f"{self.root}/{name}/v{version}")
+                fs.delete(path, True)
 
     def table(self, name: str) -> DataFrame:
         """The table, empty if it has not been written yet."""
-        if self._exists(name):
-            return self.spark.read.schema(SCHEMAS[name]).parquet(self._path(name))
+        versions = self._versions(name)
+        if versions:
+            return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{name}/v{versions[-1]}")
         return self.spark.createDataFrame([], SCHEMAS[name])
 
     def _write(self, name: str, df: DataFrame, dry_run: bool) -> DataFrame:
@@ -82,8 +92,8 @@ class Engine:
         out = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
         if dry_run:
             return out
-        # What is read may be the table itself, so it is made whole first.
-        cut(out).write.mode("overwrite").parquet(self._path(name))
+        # A version that was begun and not finished is written over.
+        out.write.mode("overwrite").parquet(f"{self.root}/{name}/v{max(self._versions(name), default=0) + 1}")
         return self.table(name)
 
     def views(self) -> list[str]:
@@ -108,11 +118,11 @@ class Engine:
     def create_tables(self, dry_run: bool = False) -> dict[str, str]:
         """Missing tables are created empty; the schemas of all. Repeated keys of existing ones raise an error."""
         for name, key in KEYS.items():
-            if self._exists(name) and self.table(name).groupBy(key).count().where("count > 1").limit(1).count():
+            if self._versions(name) and self.table(name).groupBy(key).count().where("count > 1").limit(1).count():
                 raise ValueError(f"{name}.{key} is not unique")
         for name, schema in SCHEMAS.items():
-            if not dry_run and not self._exists(name):
-                self.spark.createDataFrame([], schema).write.parquet(self._path(name))
+            if not dry_run and not self._versions(name):
+                self._write(name, self.spark.createDataFrame([], schema), False)
         return dict(SCHEMAS)
 
     def scrape(self, pages: DataFrame, now: str | None = None) -> DataFrame:

@@ -212,8 +212,8 @@ def _moved(graph: DataFrame, total: float, least_gain: float) -> DataFrame:
     """(name, community) after moving the vertices of one level until none wants to.
 
     Half of the vertices (by hash, in turn) may move in a round, so that two
-    vertices do not swap for ever; least community on ties. Rounds that no longer
-    raise the modularity by ``least_gain`` are the last.
+    vertices do not swap for ever; least community on ties. Two rounds that no longer
+    raise the modularity by ``least_gain`` are the last; the next level goes on from there.
     """
     degree = graph.groupBy("x").agg(F.sum("w").alias("k"))
     state = cut(degree.select(F.col("x").alias("name"), F.col("x").alias("community"), "k"))
@@ -231,14 +231,13 @@ def _moved(graph: DataFrame, total: float, least_gain: float) -> DataFrame:
         # Staying alone counts as no gain.
         may = (F.pmod(F.xxhash64("name", F.lit(turn // 8)), F.lit(2)) == turn % 2) & (-F.col("b.g") > F.greatest(F.coalesce("own", F.lit(0.0)), F.lit(0.0)) + 1e-9)
         following = cut(state.join(best, "name", "left").select("name", F.when(may, F.col("b.c")).otherwise(F.col("community")).alias("community"), "k", F.coalesce(may, F.lit(False)).alias("moved")))
-        n = following.where("moved").count()
-        if n and turn % 4 == 3:
-            q = _quality(graph, following, total)
+        still = still + 1 if following.where("moved").isEmpty() else 0
+        state, turn = following.drop("moved"), turn + 1
+        if turn % 2 == 0 and not still:
+            q = _quality(graph, state, total)
             if best_q is not None and q <= best_q + least_gain:
                 break
             best_q = q
-        state, turn = following.drop("moved"), turn + 1
-        still = 0 if n else still + 1
     return state.select("name", "community")
 
 

@@ -160,5 +160,6 @@ def test_commands(spark, tmp_path, page_rows):
         assert [r.rank for r in rows] == list(range(1, len(rows) + 1)) and "Income tax" in rows[0].evidence and set(result.seconds) == {"embed", "vector", "keyword", "merge", "expand", "rerank", "synthesize"}
         assert show(result).startswith("  1") and '"rank":1' in show(result, "json")
     assert engine.describe().where("item = 'rows of documents'").first().value == "1"
-    engine.views()
+    engine.vacuum()
+    assert all(len(engine._versions(name)) == 1 for name in engine.views())
     assert spark.sql("select count(*) from documents d join chunks c on c.document_id = d.id").first()[0] >= 2
