@@ -12,9 +12,11 @@ one half is withdrawn before the assignment is solved again.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +39,13 @@ SPAN_COVER, SPAN_GAIN = 0.62, 0.15
 #: What a span's pair is worth beside a rival pair of one of its sentences.
 SPAN_BONUS = 0.15
 _BLOCK = 400
+#: Bounds of a counting task's memory, not of what it counts: words of sections that are held, pairs that are
+#: made of them at once, rows of a batch that is handed on.
+HELD_WORDS, MADE_PAIRS, BATCH_ROWS = 2_000_000, 500_000, 100_000
+#: A row goes to a counting task for so many characters of text: Arrow batches have so many rows, of any length.
+ROW_CHARS = 500
+#: Documents that are counted in one task: the more, the fewer rows of the same pair are shuffled.
+COUNT_DOCS = 10_000
 
 _END = re.compile(r"(?<=[.!?؟])\s+")
 _WORD = re.compile(r"\d+|[^\W\d_]+")
@@ -79,40 +88,97 @@ def bilingual(legal: DataFrame) -> DataFrame:
     return one.select("document_id", "c.ar", "c.en")
 
 
+class _Sections:
+    """The words of sections, and in how many of them words and pairs of words stand.
+
+    Only the words are held; pairs are made of a stretch of the Arabic words at a time.
+    """
+
+    def __init__(self):
+        self.known: tuple[dict[str, int], dict[str, int]] = {}, {}
+        self.words, self.sizes = (array("i"), array("i")), (array("i"), array("i"))
+
+    def add(self, *sides: set[str]) -> bool:
+        """Whether it is full after this section."""
+        for side, known, words, sizes in zip(sides, self.known, self.words, self.sizes):
+            words.extend([known.setdefault(w, len(known)) for w in side])
+            sizes.append(len(side))
+        return len(self.words[0]) + len(self.words[1]) >= HELD_WORDS
+
+    def rows(self):
+        """(a, e, n) as Arrow batches: with either null the sections with the other, with both null all sections."""
+        av, ev = (pa.array(known, pa.string()) for known in self.known)
+        a, e = (np.array(words, np.int64) for words in self.words)
+        n_a, n_e = (np.array(sizes, np.int64) for sizes in self.sizes)
+        yield from _batches(av, None, np.bincount(a, minlength=len(av)))
+        yield from _batches(None, ev, np.bincount(e, minlength=len(ev)))
+        yield from _batches(None, None, np.array([len(n_a)]))
+
+        # By Arabic word: its sections, which make a pair with each of their English words.
+        section = np.repeat(np.arange(len(n_a)), n_a)[np.argsort(a, kind="stable")]
+        size, first = n_e[section], (np.cumsum(n_e) - n_e)[section]
+        end = np.concatenate([[0], np.cumsum(size)])
+        bound = np.concatenate([[0], np.cumsum(np.bincount(a, minlength=len(av)))])
+
+        def english(lo, hi):
+            n = size[lo:hi]
+            return e[np.arange(n.sum()) + np.repeat(first[lo:hi] - (np.cumsum(n) - n), n)]
+
+        def stretch(ends, lo):
+            return max(lo + 1, int(np.searchsorted(ends, ends[lo] + MADE_PAIRS, "right")) - 1)
+
+        word = 0
+        while word < len(av):
+            lo, after = bound[word], stretch(end[bound], word)
+            if after > word + 1:
+                words = np.repeat(np.arange(word, after), np.diff(end[bound[word : after + 1]]))
+                pairs, counts = np.unique(words << 32 | english(lo, bound[after]), return_counts=True)
+                yield from _batches(av.take(pa.array(pairs >> 32)), ev.take(pa.array(pairs & 0xFFFFFFFF)), counts)
+            else:
+                counts = np.zeros(len(ev), np.int64)
+                while lo < bound[after]:
+                    hi = min(bound[after], stretch(end, lo))
+                    counts += np.bincount(english(lo, hi), minlength=len(ev))
+                    lo = hi
+                some = np.flatnonzero(counts)
+                yield from _batches(av.take(pa.array(np.full(len(some), word))), ev.take(pa.array(some)), counts[some])
+            word = after
+
+
+def _batches(a: pa.Array | None, e: pa.Array | None, n: np.ndarray):
+    for lo in range(0, len(n), BATCH_ROWS):
+        part = n[lo : lo + BATCH_ROWS]
+        sides = [pa.nulls(len(part), pa.string()) if x is None else x[lo : lo + BATCH_ROWS] for x in (a, e)]
+        yield pa.RecordBatch.from_arrays([*sides, pa.array(part, pa.int64())], ["a", "e", "n"])
+
+
+def _count(batches):
+    """The rows of all documents; one may come more than once, each time with a part of its number."""
+    held = _Sections()
+    for batch in batches:
+        for ar, en in zip(batch.column("ar"), batch.column("en")):
+            if not ar.is_valid:
+                continue
+            for unit in _units(ar.as_py(), en.as_py()):
+                if held.add(*unit):
+                    yield from held.rows()
+                    held = _Sections()
+    yield from held.rows()
+
+
 def induce_lexicon(docs: DataFrame) -> DataFrame:
     """(a, e, weight, df_a, df_e): associated word pairs; ``weight`` in 0..1 is the Dice coefficient.
 
-    Counts are over all documents; pairs are counted per batch before the shuffle.
+    Counts are over all documents; pairs are counted per task before the shuffle, in bounded memory.
+    Rows without texts count for nothing.
     """
-    def count(batches):
-        for pdf in batches:
-            av: dict[str, int] = {}
-            ev: dict[str, int] = {}
-            codes, na, ne, units = [], {}, {}, 0
-            for ar, en in zip(pdf["ar"], pdf["en"]):
-                for a, e in _units(ar, en):
-                    ia = np.array([av.setdefault(w, len(av)) for w in a], np.int64)
-                    ie = np.array([ev.setdefault(w, len(ev)) for w in e], np.int64)
-                    for i in ia.tolist():
-                        na[i] = na.get(i, 0) + 1
-                    for i in ie.tolist():
-                        ne[i] = ne.get(i, 0) + 1
-                    codes.append((ia[:, None] << 32 | ie[None, :]).ravel())
-                    units += 1
-            pairs, n = np.unique(np.concatenate(codes) if codes else np.zeros(0, np.int64), return_counts=True)
-            alist, elist = np.array([*av, ""], object), np.array([*ev, ""], object)
-            yield pd.DataFrame({
-                "a": np.concatenate([alist[pairs >> 32], alist[list(na)] if na else [], np.full(len(ne), None, object), [None]]),
-                "e": np.concatenate([elist[pairs & 0xFFFFFFFF], np.full(len(na), None, object), elist[list(ne)] if ne else [], [None]]),
-                "n": np.concatenate([n, list(na.values()), list(ne.values()), [units]]).astype(np.int64),
-            })
-
-    counted = cut(docs.mapInPandas(count, "a string, e string, n long").groupBy("a", "e").agg(F.sum("n").alias("n")))
+    summed = docs.mapInArrow(_count, "a string, e string, n long").groupBy("a", "e").agg(F.sum("n").alias("n"))
+    counted = cut(summed.where(F.col("a").isNull() | F.col("e").isNull() | (F.col("n") >= MIN_TOGETHER)))
     row = counted.where("a is null and e is null").first()
     total = float(row["n"]) if row else 0.0
     one = counted.where("a is not null and e is null").select("a", F.col("n").alias("na"))
     two = counted.where("a is null and e is not null").select("e", F.col("n").alias("ne"))
-    pairs = counted.where("a is not null and e is not null").where(F.col("n") >= MIN_TOGETHER).join(one, "a").join(two, "e")
+    pairs = counted.where("a is not null and e is not null").join(one, "a").join(two, "e")
 
     def term(k, expected):
         return F.when(k > 0, k * F.log(k / expected)).otherwise(0.0)
@@ -133,6 +199,14 @@ def induce_lexicon(docs: DataFrame) -> DataFrame:
     )
 
 
+def _thinned(docs: DataFrame) -> DataFrame:
+    """(ar, en) with null rows after each document by its length, so that a batch of many rows is not a batch of much text."""
+    text = F.struct("ar", "en")
+    blank = F.struct(F.lit(None).cast("string").alias("ar"), F.lit(None).cast("string").alias("en"))
+    chars = F.length("ar") + F.length("en")
+    return docs.select(F.explode(F.concat(F.array(text), F.array_repeat(blank, (chars / ROW_CHARS).cast("int")))).alias("c")).select("c.ar", "c.en")
+
+
 def hungarian(weight: np.ndarray) -> list[tuple[int, int]]:
     """The assignment of greatest total weight; pairs of weight 0 or less are not made."""
     flip = weight.shape[0] > weight.shape[1]
@@ -342,8 +416,9 @@ def aligned_sentences(legal: DataFrame) -> DataFrame:
     words, so the lexicon is nowhere whole. Documents without any entry still pair by numbers.
     """
     docs = cut(bilingual(legal))
-    lexicon = cut(induce_lexicon(docs))
-    groups = max(docs.sparkSession.sparkContext.defaultParallelism, -(-docs.count() // GROUP_DOCS))
+    n_docs, cores = docs.count(), docs.sparkSession.sparkContext.defaultParallelism
+    lexicon = cut(induce_lexicon(_thinned(docs.coalesce(max(cores, -(-n_docs // COUNT_DOCS))))))
+    groups = max(cores, -(-n_docs // GROUP_DOCS))
     # As many partitions as groups: few bytes can be much work.
     docs = docs.withColumn("group", F.pmod(F.xxhash64("document_id"), F.lit(groups))).repartition(groups, "group")
     schema = "document_id string, ar_pos int, en_pos int, score double, ar_text string, en_text string"

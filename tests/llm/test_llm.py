@@ -2,8 +2,11 @@
 
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -270,6 +273,83 @@ def test_groups_of_documents_change_nothing(spark, monkeypatch):
     assert found[0] == found[1] and any(r[0] == "numbers" for r in found[0])
 
 
+class Mapped(Exception):
+    """Carries the function that a stand-in for documents was mapped with, and its batch."""
+
+
+def counted(texts):
+    """What a task that counts (ar, en) texts for the lexicon hands on, batch by batch."""
+    table = pd.DataFrame(texts, columns=["ar", "en"])
+
+    class Docs:
+        def mapInArrow(self, function, schema):
+            raise Mapped(function, pa.RecordBatch.from_pandas(table))
+
+        def mapInPandas(self, function, schema):
+            raise Mapped(function, table)
+
+    with pytest.raises(Mapped) as mapped:
+        alignment.induce_lexicon(Docs())
+    function, batch = mapped.value.args
+    for out in function(iter([batch])):
+        yield out if isinstance(out, pd.DataFrame) else out.to_pandas()
+
+
+def word(side, k):
+    return side + str(k).translate(str.maketrans("0123456789", "bcdfghjklm"))
+
+
+def test_counting_for_the_lexicon_stays_small():
+    """Ten million pairs of words in one section, and as many in 400 documents, through one task."""
+    def text(side, ks):
+        return " ".join(word(side, k) for k in ks) + "."
+
+    rng = random.Random(4)
+    long = [(text("a", range(3200)), text("e", range(3200)))]
+    many = [(text("a", rng.sample(range(900), 160)), text("e", rng.sample(range(900), 160))) for _ in range(400)]
+    for texts, pairs, sections in ((long, 3200**2, 1), (many, 400 * 160**2, 400)):
+        total, units, rows = 0, 0, 0
+        tracemalloc.start()
+        try:
+            for out in counted(texts):
+                both = out["a"].notna() & out["e"].notna()
+                total, rows = total + int(out["n"][both].sum()), max(rows, len(out))
+                units += int(out["n"][out["a"].isna() & out["e"].isna()].sum())
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        assert (total, units) == (pairs, sections)
+        assert peak < 150e6 and rows <= 100_000
+
+
+@pytest.mark.parametrize("limits", [(4_000_000, 1_000_000, 100_000), (40, 9, 4), (300, 70, 1_000), (1, 1, 1)])
+def test_counting_in_parts_changes_no_number(monkeypatch, limits):
+    for name, limit in zip(("HELD_WORDS", "MADE_PAIRS", "BATCH_ROWS"), limits):
+        monkeypatch.setattr(alignment, name, limit)
+    texts = [(ar, en) for _, ar, en, _ in bilingual_corpus(12)[0]]
+    texts += [("# x\nab.\n# y\n", "zz. yy"), ("# only", "# h"), ("a", "# q"), ("# a\n b", "# b\n c. d\n# z\n e")]
+    want, got = {}, {}
+    for ar, en in texts:
+        for a, e in alignment._units(ar, en):
+            for key in [*itertools.product(a, e), *((x, None) for x in a), *((None, x) for x in e), (None, None)]:
+                want[key] = want.get(key, 0) + 1
+    for out in counted([(None, None), *texts, (None, None)]):
+        assert len(out) <= limits[2]
+        for a, e, n in zip(*(out[c].astype(object).where(out[c].notna(), None) for c in "aen")):
+            got[a, e] = got.get((a, e), 0) + n
+    assert got == want
+
+
+def test_batches_for_counting_hold_little_text(spark):
+    rows = [(f"d{k}", f"{k} " + "ا" * (37 * k), "e" * (11 * k) or "e") for k in range(60)] + [("long", "ب" * 90_000, "f")]
+    got = alignment._thinned(spark.createDataFrame(rows, "document_id string, ar string, en string").coalesce(1)).collect()
+    assert [tuple(r) for r in got if r.ar is not None] == [r[1:] for r in rows]
+    chars = [len(r.ar or "") + len(r.en or "") for r in got]
+    assert len(chars) - 1 - chars.index(90_001) == 90_001 // alignment.ROW_CHARS
+    short = chars[: chars.index(90_001)]
+    assert max(sum(short[k : k + 20]) for k in range(len(short))) <= 20 * alignment.ROW_CHARS + 2 * max(short)
+
+
 def test_hungarian_of_a_large_group():
     """Greedy pairing would take the great weights and leave half of the rows unpaired."""
     n = 340
