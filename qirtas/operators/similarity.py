@@ -1,16 +1,19 @@
-"""All pairs of vectors with at least a given cosine: an exact join without comparing everything with everything.
-
-Every vector belongs to the cell of its nearest pivot. By the triangle inequality
-for angles a vector can only reach into another cell if the other pivot is nearly
-as near as its own, or within the cell's radius and the threshold's angle; only
-there it is compared. No pair is lost, however the pivots lie: they only decide
-how much is compared.
+"""All pairs of vectors with at least a given cosine: an exact join that meets in few, large blocks.
+
+Every vector belongs to the cell of its nearest pivot, and cells that lie side by
+side make up a block. By the triangle inequality for angles a vector can only
+reach into another cell if the other pivot is nearly as near as its own, or within
+the cell's radius and the threshold's angle; it goes only to blocks with such a
+cell, so once to a block however many of its cells it may reach. No pair is lost,
+however the pivots lie: they only decide how much is compared. Where they rule
+nothing out, as with vectors in all directions, each vector goes to each block.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +24,14 @@ from qirtas.session import cut
 
 #: Pivots, at most: a bounded sample of the vectors, with its size growing as the root of their number.
 MAX_PIVOTS = 2048
-#: Vectors of one side that meet in one task, at most on average; fuller cells are divided.
-CELL_ROWS = 20_000
+#: Vectors of 64 numbers of one side that meet in one task, at most on average; fuller cells are divided.
+CELL_ROWS = 40_000
+#: Blocks are at least so many, for tasks on all cores, unless they would be smaller than this.
+LEAST_BLOCKS, LEAST_ROWS = 5, 4_096
+#: Numbers that are held at once on the way: cosines to pivots, vectors in a batch that is handed on.
+STRETCH = 1 << 20
+#: Vectors of the two sides that are multiplied at a time, pairs in a batch that is handed on.
+TILE, PAIRS = (512, 2_048), 16_384
 #: Rounding in angles, on the safe side.
 _SLACK = 1e-6
 
@@ -34,8 +43,32 @@ def _matrix(values: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _angles(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    return np.arccos(np.clip(x @ pivots.T, -1.0, 1.0))
+def _angle(cos: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(cos, -1.0, 1.0))
+
+
+def _stretches(b: pa.RecordBatch, pivots: np.ndarray, dims: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(first row, cosines to all pivots) of a few rows at a time."""
+    step = max(1, STRETCH // len(pivots))
+    for lo in range(0, b.num_rows, step):
+        yield lo, _matrix(b.column("v").slice(lo, step), dims) @ pivots.T
+
+
+def _runs(pivots: np.ndarray, held: np.ndarray, dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The cells in an order in which near ones follow each other, where each run of them begins, and the blocks that a run makes up.
+
+    A run is of one block, but for one full cell that is divided.
+    """
+    n = int(held.sum())
+    room = max(1, min(CELL_ROWS * 64 // max(64, dims), max(LEAST_ROWS, -(-n // LEAST_BLOCKS))))
+    order = np.argsort((pivots @ pivots[: max(1, -(-n // room))].T).argmax(axis=1), kind="stable")
+    starts, blocks, filled = [], [], 0
+    for at, rows in enumerate(held[order].tolist()):
+        if not starts or filled + rows > room:
+            starts.append(at), blocks.append(max(1, -(-rows // room)))
+            filled = 0
+        filled += rows
+    return order, np.array(starts), np.array(blocks)
 
 
 def threshold_pairs(vectors: DataFrame, key: str, vector: str, threshold: float, dims: int) -> DataFrame:
@@ -56,60 +89,83 @@ def threshold_pairs(vectors: DataFrame, key: str, vector: str, threshold: float,
     pivots = _matrix(sample.column("v"), dims)
     shared = spark.sparkContext.broadcast(pivots)
 
-    def sizes(batches):
+    def cells(batches):
+        """The radius and the vectors of each cell; one that is as near to several pivots counts for the radius of each."""
+        pivots = shared.value
+        radius, held = np.full(len(pivots), -1.0), np.zeros(len(pivots), np.int64)
         for b in batches:
-            angle = _angles(_matrix(b.column("v"), dims), shared.value)
-            home = angle.argmin(axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(home, pa.int32()), pa.array(angle.min(axis=1))], ["cell", "angle"])
+            for _, cos in _stretches(b, pivots, dims):
+                best = cos.max(axis=1)
+                row, cell = np.nonzero(cos >= best[:, None] - 1e-9)
+                np.maximum.at(radius, cell, _angle(best)[row])
+                held += np.bincount(cos.argmax(axis=1), minlength=len(pivots))
+        at = np.flatnonzero(radius >= 0)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(radius[at]), pa.array(held[at])], ["cell", "angle", "n"])
 
     # One row per pivot.
-    radius = np.full(len(pivots), -1.0)
-    held = source.select("v").mapInArrow(sizes, "cell int, angle double").groupBy("cell").agg(F.max("angle").alias("r"), F.count("*").alias("n")).toPandas()
-    radius[held["cell"]] = held["r"]
-    full = np.zeros(len(pivots), np.int64)
-    full[held["cell"]] = held["n"]
-    parts = spark.sparkContext.broadcast((radius, np.maximum(1, -(-full // CELL_ROWS))))
+    found = source.select("v").mapInArrow(cells, "cell int, angle double, n long").groupBy("cell").agg(F.max("angle").alias("r"), F.sum("n").alias("n")).toPandas()
+    at = found["cell"].to_numpy()
+    held, nearest = np.zeros(len(pivots), np.int64), np.full(len(pivots), 2.0)
+    held[at] = found["n"]
+    # The cosine from which a vector may reach into a cell; nothing reaches into an empty one.
+    nearest[at] = np.cos(np.minimum(found["r"].to_numpy() + theta + _SLACK, math.pi))
+    layout = spark.sparkContext.broadcast((nearest, *_runs(pivots, held, dims)))
 
     def route(batches):
-        """A vector meets its own cell as both sides, and the cells that it may reach into as the right side."""
-        radius, divided = parts.value
+        """A vector goes to each pair of its block with a block that it may reach into, its own among them."""
+        nearest, order, starts, blocks = layout.value
+        first = np.cumsum(blocks) - blocks
+        run = np.empty(len(order), np.int64)
+        run[order] = np.repeat(np.arange(len(starts)), np.diff([*starts, len(order)]))
         for b in batches:
-            keys = b.column("k").to_pylist()
-            angle = _angles(_matrix(b.column("v"), dims), shared.value)
-            home, own = angle.argmin(axis=1), angle.min(axis=1)
-            reach = (angle <= own[:, None] + 2 * theta + _SLACK) & (angle <= radius[None, :] + theta + _SLACK)
-            reach[np.arange(len(home)), home] = True
-            at, cell, left, right, role = [], [], [], [], []
-            for i, c in zip(*np.nonzero(reach)):
-                d = int(divided[c])
-                part = zlib.crc32(keys[i].encode()) % d
-                mine = c == home[i]
-                for other in range(d):
-                    # As left it meets every right part, as right every left part.
-                    for l, r, side in ((part, other, 1), (other, part, 2)) if mine else ((other, part, 2),):
-                        at.append(i), cell.append(c), left.append(l), right.append(r), role.append(side)
-            take = pa.array(np.array(at, np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cell, pa.int32()), pa.array(left, pa.int32()), pa.array(right, pa.int32()), pa.array(role, pa.int8()),
-                 pa.array(home[np.array(at, np.int64)] if at else [], pa.int32()), b.column("k").take(take), b.column("v").take(take)],
-                ["cell", "l", "r", "role", "home", "k", "v"],
-            )
-
-    def meet(group: pa.Table) -> pa.Table:
-        role, home = group.column("role").to_numpy(), group.column("home").to_numpy()
-        keys, x = np.array(group.column("k").to_pylist(), object), _matrix(group.column("v"), dims)
-        one, two = np.flatnonzero(role == 1), np.flatnonzero(role == 2)
-        a, b, s = [], [], []
-        for lo in range(0, len(one), 1024):
-            rows = one[lo : lo + 1024]
-            cos = x[rows] @ x[two].T
-            i, j = np.nonzero(cos >= threshold)
-            i, j, c = rows[i], two[j], cos[i, j]
-            # Within a cell a pair comes both ways; across cells from each of the two, of which the lower counts.
-            good = np.where(home[i] == home[j], keys[i] < keys[j], home[i] < home[j]).astype(bool)
-            a.append(np.minimum(keys[i[good]], keys[j[good]])), b.append(np.maximum(keys[i[good]], keys[j[good]])), s.append(c[good])
-        cat = lambda parts: np.concatenate(parts) if parts else np.zeros(0, object)
-        return pa.table({"a": pa.array(cat(a), pa.string()), "b": pa.array(cat(b), pa.string()), "similarity": pa.array(cat(s).astype(float), pa.float64())})
-
-    routed = source.mapInArrow(route, "cell int, l int, r int, role byte, home int, k string, v array<double>")
-    return routed.groupBy("cell", "l", "r").applyInArrow(meet, "a string, b string, similarity double")
+            part = np.array([zlib.crc32(k.encode()) for k in b.column("k").to_pylist()], np.int64)
+            for lo, cos in _stretches(b, shared.value, dims):
+                home, own = cos.argmax(axis=1), _angle(cos.max(axis=1))
+                reach = cos >= np.maximum(np.cos(np.minimum(own + 2 * theta + _SLACK, math.pi))[:, None], nearest[None, :])
+                reach[np.arange(len(home)), home] = True
+                row, other = np.nonzero(np.repeat(np.logical_or.reduceat(reach[:, order], starts, axis=1), blocks, axis=1))
+                mine = (first[run[home]] + part[lo : lo + len(home)] % blocks[run[home]])[row]
+                for at in range(0, len(row), step := max(1, STRETCH // dims)):
+                    to, own_block, rows = other[at : at + step], mine[at : at + step], pa.array(row[at : at + step] + lo)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.minimum(to, own_block), pa.int32()), pa.array(np.maximum(to, own_block), pa.int32()), pa.array(to < own_block), b.column("k").take(rows), b.column("v").take(rows)],
+                        ["l", "r", "right", "k", "v"],
+                    )
+
+    # Single numbers only find what may be a pair; doubles decide.
+    low = np.float32(threshold - 2e-7 * dims - 1e-6)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(b.column("l")[0].as_py() == b.column("r")[0].as_py(), b.column("right").to_numpy(zero_copy_only=False), b.column("k").to_pylist(), _matrix(b.column("v"), dims)) for b in batches if b.num_rows]
+        within, right = parts[0][0], np.concatenate([p[1] for p in parts])
+        keys, x = np.array([k for p in parts for k in p[2]], object), np.concatenate([p[3] for p in parts])
+        del parts
+        one, two = (np.arange(len(x)),) * 2 if within else (np.flatnonzero(~right), np.flatnonzero(right))
+        left_side, right_side = x[one].astype(np.float32), x[two].astype(np.float32)
+        waiting, pairs = [], 0
+
+        def batch() -> pa.RecordBatch:
+            i, j, c = (np.concatenate(w) for w in zip(*waiting))
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(keys[i], keys[j]), pa.string()), pa.array(np.maximum(keys[i], keys[j]), pa.string()), pa.array(c)], ["a", "b", "similarity"])
+
+        for lo in range(0, len(one), TILE[0]):
+            for at in range(lo if within else 0, len(two), TILE[1]):
+                cos = left_side[lo : lo + TILE[0]] @ right_side[at : at + TILE[1]].T
+                i, j = np.divmod(np.flatnonzero(cos >= low), cos.shape[1])
+                i, j = one[lo + i], two[at + j]
+                if within:
+                    i, j = i[i < j], j[i < j]
+                for start in range(0, len(i), PAIRS):
+                    a, b = i[start : start + PAIRS], j[start : start + PAIRS]
+                    c = np.einsum("ij,ij->i", x[a], x[b])
+                    good = c >= threshold
+                    waiting.append((a[good], b[good], c[good]))
+                    pairs += int(good.sum())
+                    if pairs >= PAIRS:
+                        yield batch()
+                        waiting, pairs = [], 0
+        if pairs:
+            yield batch()
+
+    routed = source.mapInArrow(route, "l int, r int, right boolean, k string, v array<double>")
+    return routed.groupBy("l", "r").applyInArrow(meet, "a string, b string, similarity double")

@@ -211,6 +211,25 @@ def test_similar_pairs_against_all_pairs(spark, monkeypatch):
     assert topics.topic_pairs(df.limit(0), 0.8, 16).count() == 0
 
 
+def test_vectors_in_all_directions_go_to_few_blocks(spark, monkeypatch):
+    """Where pivots rule nothing out, a vector is sent once to a block, not once to a cell; all pairs of a dense cone come out."""
+    from pyspark.sql.pandas.group_ops import PandasGroupedOpsMixin
+
+    rng, sent, real = np.random.default_rng(5), [], PandasGroupedOpsMixin.applyInArrow
+    monkeypatch.setattr(PandasGroupedOpsMixin, "applyInArrow", lambda self, *a: (sent.append(self._df.count()), real(self, *a))[1])
+    monkeypatch.setattr(similarity, "CELL_ROWS", 500)
+    x = rng.normal(size=(3000, 64))
+    x[:300] = x[0] + 0.1 * rng.normal(size=(300, 64))
+    x[300:1200] = x[1200:2100] + 0.6 * rng.normal(size=(900, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(f"t{i:04d}", [float(v) for v in x[i]]) for i in range(3000)], "k string, v array<double>")
+    got = {(r.a, r.b): r.similarity for r in similarity.threshold_pairs(df, "k", "v", 0.85, 64).collect()}
+    i, j = np.nonzero(np.triu(x @ x.T >= 0.85, 1))
+    assert len(i) > 300 * 299 // 2 and got.keys() == {(f"t{a:04d}", f"t{b:04d}") for a, b in zip(i, j)}
+    assert max(abs(got[f"t{a:04d}", f"t{b:04d}"] - x[a] @ x[b]) for a, b in zip(i, j)) < 1e-12
+    assert sent[0] <= 13 * 3000
+
+
 def test_json_source_and_quarantine(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"id": "a", "title": "T", "source_url": "https://x.example/", "language": "en", "markdown": "# m"}))
     (tmp_path / "b.json").write_text("{broken")
