@@ -118,7 +118,9 @@ def groups_of(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each round also follows the label's own label, so chains are halved.
     """
-    edges = cut(pairs.select(F.col(a).alias("x"), F.col(b).alias("y")).unionByName(pairs.select(F.col(b).alias("x"), F.col(a).alias("y"))).distinct())
+    # Both directions of one reading: the pairs may take long to make.
+    both = pairs.select(F.inline(F.array(F.struct(F.col(a).alias("x"), F.col(b).alias("y")), F.struct(F.col(b).alias("x"), F.col(a).alias("y")))))
+    edges = cut(both.distinct())
     labels = cut(edges.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("root")).withColumnRenamed("x", "name"))
     while True:
         near = edges.join(labels.select(F.col("name").alias("y"), "root"), "y").groupBy(F.col("x").alias("name")).agg(F.min("root").alias("near"))

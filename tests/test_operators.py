@@ -102,6 +102,19 @@ def test_groups_of_a_long_chain(spark):
     assert len(got) == 63 and got["n060"] == "n000" and got["z"] == "y"
 
 
+def test_groups_read_the_pairs_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([("b", "a"), ("c", "b"), ("y", "z"), ("y", "z")], "a string, b string").mapInArrow(counted, "a string, b string")
+    assert {r.name: r.root for r in topics.groups_of(df).collect()} == {"a": "a", "b": "a", "c": "a", "y": "y", "z": "y"}
+    assert read.value == 4
+
+
 def test_topic_json(spark):
     raws = ['{"topics":[{"name":"Tax Law","confidence":2}]}', 'x ```json\n[{"normalized_name":"ship","confidence":"bad"}]\n```', "nothing", None]
     df = spark.createDataFrame([(r,) for r in raws], "r string").coalesce(1)
