@@ -42,7 +42,7 @@ LARGER = "/root/testdata/sf0.01"
 
 
 @pytest.mark.skipif(not os.path.isdir(LARGER), reason="no test data")
-@pytest.mark.parametrize("name", ["q_merged_topics", "q_merge_plan"])
+@pytest.mark.parametrize("name", ["q_merged_topics", "q_merge_plan", "q_apply_merge"])
 def test_merges_send_a_vector_once_to_a_block(spark, monkeypatch, name):
     """One block: every vector is sent once, where it reaches into nearly all cells."""
     from pyspark.sql.pandas.group_ops import PandasGroupedOpsMixin
